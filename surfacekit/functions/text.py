@@ -51,14 +51,24 @@ def match_key(col) -> Column:
     return F.when(F.length(k) >= rules.MATCH_KEY_MIN, k)
 
 
-def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD) -> Column:
+def strip_ws(col) -> Column:
+    """Python-style strip of ASCII whitespace on both ends."""
+    return F.regexp_replace(_c(col), r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")
+
+
+def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD,
+                   mask_raw=None) -> Column:
     """PRJ11: ``pad`` characters each side of [offset, offset+len) (0-based offset),
-    newlines -> space, trimmed; when longer than 200: first 100 + '...' + last 60."""
+    newlines -> space, stripped; when longer than 200: first 100 + '...' + last 60.
+    With ``mask_raw`` every occurrence of that string in the window is masked first, so
+    truncation can never expose part of a secret."""
     t, o, n = _c(text), _c(offset), _c(match_len)
     start = F.greatest(F.lit(0), o - pad)
     end = F.least(F.length(t), o + n + pad)
     raw = F.substring(t, start + 1, end - start)
-    ctx = F.trim(F.regexp_replace(raw, "\n", " "))
+    if mask_raw is not None:
+        raw = F.replace(raw, _c(mask_raw), mask_secret(mask_raw))
+    ctx = strip_ws(F.regexp_replace(raw, "\n", " "))
     return (F.when(F.length(ctx) > 200,
                    F.concat(F.substring(ctx, 1, 100), F.lit("..."),
                             F.substring(ctx, -60, 60)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from surfacekit.plans import registry
 from surfacekit.plans import url_queries  # noqa: F401
+from surfacekit.plans import secret_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE

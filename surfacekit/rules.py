@@ -13,7 +13,7 @@ reference's quirks are marked "fix:" next to the value they change.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------------------
 # Engine forms of a word boundary and of whitespace.
@@ -134,7 +134,15 @@ class SecretRule:
     keep: str | None = None      # anchored post-filter on each candidate (see Internal_IP)
     noise_exempt: bool = False   # exempt from the hex-run part of the noise rule only
     origin: str = "ref"          # "ref" = reference rule, "ours" = added rule
-    extra: dict = field(default_factory=dict, compare=False)
+    java: str | None = None      # Java-only form when it is exactly equivalent and cheaper
+
+    @property
+    def spark_pattern(self) -> str:
+        return self.java if self.java else java_form(self.pattern)
+
+    @property
+    def spark_keep(self) -> str | None:
+        return None if self.java else self.keep
 
 
 # FIXED VALUES: secret patterns and tiers, in the original order. GitHub_Classic is kept
@@ -199,7 +207,9 @@ SECRET_RULES: tuple[SecretRule, ...] = (
     SecretRule(26, "Azure_Conn", 2,
                r"DefaultEndpointsProtocol=https;AccountName=[^;]+;AccountKey=[^;]{20,}",
                ("defaultendpointsprotocol",)),
-    SecretRule(27, "Internal_IP", 2, r"[0-9./]+", ("10.", "172.", "192.168."), keep="^" + _INTERNAL_IP + "$"),
+    SecretRule(27, "Internal_IP", 2, r"[0-9./]+", ("10.", "172.", "192.168."),
+               keep="^" + _INTERNAL_IP + "$",
+               java=r"(?<![./\d])" + _INTERNAL_IP + r"(?![./\d])"),
     SecretRule(28, "GQL_Endpoint", 2, r"(?i)['\"/](graphql|graphiql|__schema)['\"/]",
                ("graph", "__schema")),
     SecretRule(29, "Generic_Credential", 3,

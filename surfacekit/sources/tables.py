@@ -10,6 +10,8 @@ token-like string is assembled from row-derived hashes at run time.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +91,105 @@ def url_sources(spark, d) -> DataFrame:
 def url_corpus(spark, d) -> DataFrame:
     """Distinct URL corpus with host (SET1 over ``url_sources``)."""
     return url_sources(spark, d).select("url").distinct().select("url", url_host("url").alias("host"))
+
+
+# ---------------------------------------------------------------------------------------
+# Script corpus: one script per page, whole page HTML + seeded call sites and tokens.
+# Placeholders are filled from row hashes at run time, so no credential-shaped literal is
+# stored:  {K} host token, {P} page token (32 chars of md5 with digits mapped to g..p),
+# {KU}/{PU} upper case, {N} page_id, {M} page_id mod 250; {X:a:n} = substring(X, a, n).
+SEED_SNIPPETS = (
+    'const awsKey = "AKIA{KU:1:16}";',
+    'aws_secret_access_key = "{K}{P:1:8}"',
+    'var gkey = "AIza{P}abc";',
+    'oauth = "ya29.{K}{P}";',
+    'const gh = "ghp_{K}abcd";',
+    'slack = "xoxb-{P:1:24}";',
+    'stripe = "sk_live_{P:1:24}";',
+    'stripePub = "pk_test_{K:1:24}";',
+    'mail = "SG.{P:1:22}.{K}{P:1:11}";',
+    'twilio = "AC{P}";',
+    '-----BEGIN RSA PRIVATE KEY-----',
+    'jwt = "eyJ{K:1:12}.eyJ{P:1:12}.{K:13:12}";',
+    'mg = "key-{P}";',
+    'shop = "shpss_{K}"; shop2 = "shpat_{P}";',
+    'db = "https://{K:1:10}-db.firebaseio.com";',
+    'conn = "postgres://app:{P:1:10}@db.internal:5432/main";',
+    'headers = {"Authorization": "Bearer {P}"};',
+    'apiKey = "{P:1:20}";',
+    'client_secret: "{K:1:20}"',
+    'access_token = "{P:5:20}"',
+    'password = "{P:1:12}"',
+    'bucket = "s3://{K:1:8}-backups"; cdn = "https://{K:1:8}-assets.s3.amazonaws.com/app.js";',
+    'DefaultEndpointsProtocol=https;AccountName={K:1:10};AccountKey={P};',
+    'internal = "10.0.{M}.12"; peer = "192.168.1.{M}"; ver = "1.10.0.1.2";',
+    'gql = "/graphql";',
+    'login = "{P:1:10}"',
+    'client_id: "{K:1:16}"',
+    'hook = "https://hooks.slack.com/services/{K:1:12}";',
+    'mapbox = "pk.eyJ{P}";',
+    'algolia_api_key = "{P:1:16}"',
+    'api_key = "YOUR_API_KEY_HERE"; password = "xxxxxxxxxxxx";',
+    'cache = "redis://cache.example.com:6379"; local = "mongodb://localhost:27017/db";',
+    'fetch("/api/v1/users/{N}").then(r => r.json());',
+    'axios.post("/auth/login", creds); axios.get("/admin/dashboard/stats");',
+    'http.get("https://{K:1:6}.internal.example.net/v2/orders");',
+    'const cfg = {endpoint: "/internal/metrics", url: "/upload/avatar", route: "/account/profile"};',
+    'var x = new XMLHttpRequest, y = x.open("POST", "/payment/checkout?id={N}");',
+    'hooks = {path: "/webhook/stripe", href: "/debug/health", src: "/data/export.csv"};',
+    'icons = {href: "/static/img/logo.png", map: "/api/bundle.js.map"};',
+    'fetch("/opsin/list"); fetch("/search?q={N}");',
+)
+
+_PLACEHOLDER = re.compile(r"\{(KU|PU|K|P|N|M)(?::(\d+):(\d+))?\}")
+
+
+def _token(col: str):
+    return F.translate(F.md5(F.col(col)), "0123456789", "ghijklmnop")
+
+
+def render_template(template: str, host_col: str = "host", url_col: str = "page_url",
+                    id_col: str = "page_id"):
+    """Spark column for a snippet template (see placeholders above)."""
+    parts, pos = [], 0
+    for m in _PLACEHOLDER.finditer(template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos:m.start()]))
+        name = m.group(1)
+        expr = {"K": _token(host_col), "KU": F.upper(_token(host_col)),
+                "P": _token(url_col), "PU": F.upper(_token(url_col)),
+                "N": F.col(id_col).cast("string"),
+                "M": F.pmod(F.col(id_col), F.lit(250)).cast("string")}[name]
+        if m.group(2):
+            expr = F.substring(expr, int(m.group(2)), int(m.group(3)))
+        parts.append(expr)
+        pos = m.end()
+    if pos < len(template):
+        parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)
+
+
+def js_corpus(spark, d) -> DataFrame:
+    """(url, content): a script per page at <authority>/static/js/app-<page_id>.js whose
+    text is the whole page HTML followed by the seeded snippets."""
+    p = pages(spark, d).select("page_id", F.col("url").alias("page_url"), "html",
+                               url_host("url").alias("host"))
+    snippets = F.concat_ws("\n", *[render_template(t) for t in SEED_SNIPPETS])
+    url = F.concat(url_scheme("page_url"), F.lit("://"), url_authority("page_url"),
+                   F.lit("/static/js/app-"), F.col("page_id").cast("string"), F.lit(".js"))
+    return p.select(url.alias("url"),
+                    F.concat(F.col("html"), F.lit("\n<script>\n"), snippets,
+                             F.lit("\n</script>\n")).alias("content"))
+
+
+def document_corpus(spark, d) -> DataFrame:
+    """(url, content) for ``documents``: url = doc://<source>/<doc_id>."""
+    return load(spark, d, "documents").select(
+        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"),
+                 F.col("doc_id").cast("string")).alias("url"),
+        F.col("text").alias("content"))
+
+
+def secret_corpus(spark, d) -> DataFrame:
+    """Scripts derived from pages plus the documents table: the leak-scan corpus."""
+    return js_corpus(spark, d).unionByName(document_corpus(spark, d))
