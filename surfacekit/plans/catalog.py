@@ -6,6 +6,7 @@ from surfacekit.plans import registry
 from surfacekit.plans import url_queries  # noqa: F401
 from surfacekit.plans import secret_queries  # noqa: F401
 from surfacekit.plans import endpoint_queries  # noqa: F401
+from surfacekit.plans import response_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE

@@ -54,3 +54,15 @@ source_maps AS (
                                       lambda x: 'webpack:///src/pages' || x || '.jsx')) AS sources
   FROM pages
 )"""
+
+
+def headers_cte() -> str:
+    edge = ("CASE WHEN web_server = 'AmazonS3' THEN 'X-Amz-Cf-Pop: FRA2' "
+            "WHEN web_server = 'Varnish' THEN 'X-Served-By: cache-fastly-fra' "
+            "WHEN web_server = 'gws' THEN 'Via: 1.1 akamai edge' ELSE 'Cache-Control: no-cache' END")
+    return f"""
+response_headers AS (
+  SELECT {S.host('url')} AS host,
+    unnest(['Server: ' || web_server, 'X-Request-Id: ' || substr(md5(url), 1, 16), {edge}]) AS line
+  FROM responses WHERE len(tech) > 0
+)"""

@@ -85,3 +85,15 @@ def source_maps(spark, d) -> DataFrame:
 
 def hosts_of_pages(spark, d) -> DataFrame:
     return T.pages(spark, d).select(url_host("url").alias("host")).distinct()
+
+
+def response_headers(spark, d) -> DataFrame:
+    """response_headers(host, line): three header lines per page response."""
+    r = responses(spark, d).where(F.size("tech") > 0)
+    edge = (F.when(F.col("web_server") == "AmazonS3", F.lit("X-Amz-Cf-Pop: FRA2"))
+            .when(F.col("web_server") == "Varnish", F.lit("X-Served-By: cache-fastly-fra"))
+            .when(F.col("web_server") == "gws", F.lit("Via: 1.1 akamai edge"))
+            .otherwise(F.lit("Cache-Control: no-cache")))
+    lines = F.array(F.concat(F.lit("Server: "), F.col("web_server")),
+                    F.concat(F.lit("X-Request-Id: "), F.substring(F.md5("url"), 1, 16)), edge)
+    return r.select(url_host("url").alias("host"), F.explode(lines).alias("line"))
