@@ -10,8 +10,9 @@ from surfacekit import rules
 HTTP_URL = r"https?://[^ \t\n\f\r]+"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_ANCHORED = r"^" + _OCTET + r"(\." + _OCTET + r"){3}$"
-# strict IPv4 token inside text: maximal runs of digits and dots that form an address
-IPV4_RUN = r"[0-9.]+"
+# strict IPv4 token inside text: maximal dotted digit groups (no trailing dot) that form
+# an address
+IPV4_RUN = r"[0-9]+(\.[0-9]+)*"
 
 
 def _c(col) -> Column:
@@ -39,8 +40,8 @@ def extract_http_urls(text) -> Column:
 
 
 def extract_ipv4(text) -> Column:
-    """PRJ9 (strict, fixes the missing-dot quirk): runs of digits and dots that are
-    complete addresses."""
+    """PRJ9 (strict, fixes the missing-dot quirk): dotted digit groups that are complete
+    addresses."""
     return F.filter(F.regexp_extract_all(_c(text), F.lit(IPV4_RUN), 0),
                     lambda x: x.rlike(IPV4_ANCHORED))
 

@@ -32,7 +32,7 @@ def valid_hostnames(df: DataFrame, col: str = "host") -> DataFrame:
 def in_scope_expr(host: Column, domain: Column) -> Column:
     h = F.lower(host)
     d = F.lower(domain)
-    return (h == d) | h.endswith(F.concat(F.lit("."), d))
+    return (h == d) | F.endswith(h, F.concat(F.lit("."), d))
 
 
 def in_scope(df: DataFrame, col: str, domains: DataFrame, domain_col: str = "domain",

@@ -26,7 +26,7 @@ def render_template_sql(template: str) -> str:
         name = m.group(1)
         expr = {"K": _tok("host"), "KU": f"upper({_tok('host')})", "P": _tok("page_url"),
                 "PU": f"upper({_tok('page_url')})", "N": "CAST(page_id AS VARCHAR)",
-                "M": "CAST(page_id % 250 AS VARCHAR)"}[name]
+                "M": "CAST(page_id % 250 AS VARCHAR)", "O": "split_part(host, '.', 1)"}[name]
         if m.group(2):
             expr = f"substr({expr}, {m.group(2)}, {m.group(3)})"
         parts.append(expr)

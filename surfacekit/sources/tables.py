@@ -97,7 +97,8 @@ def url_corpus(spark, d) -> DataFrame:
 # Script corpus: one script per page, whole page HTML + seeded call sites and tokens.
 # Placeholders are filled from row hashes at run time, so no credential-shaped literal is
 # stored:  {K} host token, {P} page token (32 chars of md5 with digits mapped to g..p),
-# {KU}/{PU} upper case, {N} page_id, {M} page_id mod 250; {X:a:n} = substring(X, a, n).
+# {KU}/{PU} upper case, {N} page_id, {M} page_id mod 250, {O} first label of the host;
+# {X:a:n} = substring(X, a, n).
 SEED_SNIPPETS = (
     'const awsKey = "AKIA{KU:1:16}";',
     'aws_secret_access_key = "{K}{P:1:8}"',
@@ -122,6 +123,7 @@ SEED_SNIPPETS = (
     'password = "{P:1:12}"',
     'bucket = "s3://{K:1:8}-backups"; cdn = "https://{K:1:8}-assets.s3.amazonaws.com/app.js";',
     'DefaultEndpointsProtocol=https;AccountName={K:1:10};AccountKey={P};',
+    'assets = "https://{O}-assets.s3.amazonaws.com/logo.png"; rtdb = "https://{O}-app.firebaseio.com";',
     'internal = "10.0.{M}.12"; peer = "192.168.1.{M}"; ver = "1.10.0.1.2";',
     'gql = "/graphql";',
     'login = "{P:1:10}"',
@@ -141,7 +143,7 @@ SEED_SNIPPETS = (
     'fetch("/opsin/list"); fetch("/search?q={N}");',
 )
 
-_PLACEHOLDER = re.compile(r"\{(KU|PU|K|P|N|M)(?::(\d+):(\d+))?\}")
+_PLACEHOLDER = re.compile(r"\{(KU|PU|K|P|N|M|O)(?::(\d+):(\d+))?\}")
 
 
 def _token(col: str):
@@ -159,7 +161,8 @@ def render_template(template: str, host_col: str = "host", url_col: str = "page_
         expr = {"K": _token(host_col), "KU": F.upper(_token(host_col)),
                 "P": _token(url_col), "PU": F.upper(_token(url_col)),
                 "N": F.col(id_col).cast("string"),
-                "M": F.pmod(F.col(id_col), F.lit(250)).cast("string")}[name]
+                "M": F.pmod(F.col(id_col), F.lit(250)).cast("string"),
+                "O": F.split_part(F.col(host_col), F.lit("."), F.lit(1))}[name]
         if m.group(2):
             expr = F.substring(expr, int(m.group(2)), int(m.group(3)))
         parts.append(expr)
