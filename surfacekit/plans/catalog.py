@@ -8,6 +8,7 @@ from surfacekit.plans import secret_queries  # noqa: F401
 from surfacekit.plans import endpoint_queries  # noqa: F401
 from surfacekit.plans import response_queries  # noqa: F401
 from surfacekit.plans import infra_queries  # noqa: F401
+from surfacekit.plans import report_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE

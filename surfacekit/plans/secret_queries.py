@@ -93,7 +93,7 @@ clean_matches AS (
              OR (NOT noise_exempt AND regexp_matches(raw, {S.lit('(?i)' + rules.NOISE_HEX)})))
 ),
 keyed AS (SELECT * FROM clean_matches WHERE length(clean) >= {rules.MATCH_KEY_MIN}),
-findings AS (
+secret_rows AS (
   SELECT url, rule_ord, tier, type, "offset", idx,
     substr(md5(clean), 1, 12) AS match_key,
     {mask('substr(clean, 1, 120)')} AS match,
@@ -108,7 +108,7 @@ findings AS (
 dedup AS (
   SELECT tier, type, rule_ord, url, "offset", match, match_key, context FROM (
     SELECT *, row_number() OVER (PARTITION BY match_key ORDER BY url, rule_ord, "offset") AS rn
-    FROM findings) WHERE rn = 1
+    FROM secret_rows) WHERE rn = 1
 )"""
 
 
@@ -153,12 +153,12 @@ def q_prj10(spark, d):
         F.length("clean").alias("key_len"))
 
 
-@register("prj11_context_window", _W + "SELECT url, rule_ord, idx, context FROM findings")
+@register("prj11_context_window", _W + "SELECT url, rule_ord, idx, context FROM secret_rows")
 def q_prj11(spark, d):
     return SE.findings(_scan(spark, d)).select("url", "rule_ord", "idx", "context")
 
 
-@register("prj15_mask_secret", _W + "SELECT url, rule_ord, idx, match FROM findings")
+@register("prj15_mask_secret", _W + "SELECT url, rule_ord, idx, match FROM secret_rows")
 def q_prj15(spark, d):
     return SE.findings(_scan(spark, d)).select("url", "rule_ord", "idx", "match")
 
