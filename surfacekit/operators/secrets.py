@@ -43,6 +43,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A corpus read from few files arrives in few partitions (one per row group), and the
     scan is CPU-bound per document. Only then is it round-robin repartitioned; a corpus of
     many files (the cluster case) is left alone, so no shuffle of the text happens there."""
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     want = min_partitions or 2 * spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
