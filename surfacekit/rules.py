@@ -26,9 +26,41 @@ JAVA_WORD_BOUNDARY = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
 _WS = r" \t\n\f\r"
 
 
+_LEAD_LITERAL = re.compile(r"[A-Za-z0-9_]+")
+_LEAD_ALT = re.compile(r"\(((?:[A-Za-z0-9_]+\|)+[A-Za-z0-9_]+)\)")
+_LEAD_CLASS = re.compile(r"\[(?:A-Za-z0-9_|A-Za-z0-9|a-zA-Z0-9_|a-zA-Z0-9|0-9A-Za-z_?)\]")
+
+
+def _lead_boundary(rest: str) -> str | None:
+    """Rewrite a leading ASCII word boundary that precedes a fixed-length word-character
+    element E as ``E(?<![A-Za-z0-9_].{n})``: the boundary is checked behind E, after E
+    matched, so Java scans for E's first character instead of evaluating look-arounds at
+    every position. Exactly equivalent (E is all word characters of length n)."""
+    m = _LEAD_LITERAL.match(rest)
+    if m and not rest[m.end():m.end() + 1] in ("{", "*", "+", "?"):
+        n = len(m.group(0))
+        return m.group(0) + f"(?<!{_W}.{{{n}}})" + rest[m.end():]
+    m = _LEAD_ALT.match(rest)
+    if m:
+        alts = m.group(1).split("|")
+        if len({len(a) for a in alts}) == 1 and rest[m.end():m.end() + 1] not in ("{", "*", "+", "?"):
+            n = len(alts[0])
+            return m.group(0) + f"(?<!{_W}.{{{n}}})" + rest[m.end():]
+    m = _LEAD_CLASS.match(rest)
+    if m and rest[m.end():m.end() + 1] not in ("{", "*", "+", "?"):
+        return m.group(0) + f"(?<!{_W}.)" + rest[m.end():]
+    return None
+
+
 def java_form(pattern: str) -> str:
     r"""Spark (Java regex) form of a portable pattern with RE2 semantics for ``\b``/``\s``."""
-    out = pattern.replace(r"\b", JAVA_WORD_BOUNDARY)
+    flags = "(?i)" if pattern.startswith("(?i)") else ""
+    body = pattern[len(flags):]
+    if body.startswith(r"\b"):
+        lead = _lead_boundary(body[2:])
+        if lead is not None:
+            body = lead
+    out = flags + body.replace(r"\b", JAVA_WORD_BOUNDARY)
     out = out.replace(r"[^\s", "[^" + _WS)
     out = re.sub(r"(?<!\[\^)\\s", lambda _: "[" + _WS + "]", out)
     return out
@@ -228,7 +260,9 @@ SECRET_RULES: tuple[SecretRule, ...] = (
                noise_exempt=True, origin="ours"),
     SecretRule(35, "IPv4_Literal", 3,
                r"\b((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\b",
-               (".",), origin="ours"),
+               (".",), origin="ours",
+               java=r"(?=[0-9])(?<![A-Za-z0-9_])((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}"
+                    r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![A-Za-z0-9_])"),
     SecretRule(36, "Email_Address", 3, r"\b[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
                ("@",), origin="ours"),
 )
