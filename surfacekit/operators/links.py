@@ -40,3 +40,23 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     out = raw.select("page_id", "page_url", link.alias("link"),
                      resolve_link(F.col("page_url"), link).alias("url"))
     return out.where(F.col("url").isNotNull() & F.col("url").rlike(r"(?i)^https?://"))
+
+
+# FIXED VALUES: robots / sitemap directives kept; sitemaps are read to their first 50 lines.
+ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
+SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"
+SITEMAP_LINES = 50
+
+
+def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind",
+                 text_col: str = "text") -> DataFrame:
+    """EXT10 (re-aimed): paths and sitemap URLs from stored robots.txt / sitemap text.
+    (host, directive, value); sitemap documents are read to their first 50 lines."""
+    lines = docs.select(host_col, kind_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    robots = (lines.where(F.col(kind_col) == "robots")
+              .select(host_col, F.lower(F.regexp_extract("line", ROBOTS_DIRECTIVE, 1)).alias("directive"),
+                      F.regexp_extract("line", ROBOTS_DIRECTIVE, 2).alias("value")))
+    sitemap = (lines.where((F.col(kind_col) == "sitemap") & (F.col("pos") < SITEMAP_LINES))
+               .select(host_col, F.lit("loc").alias("directive"),
+                       F.explode(F.regexp_extract_all("line", F.lit(SITEMAP_LOC), 1)).alias("value")))
+    return robots.where(F.col("directive") != "").unionByName(sitemap)

@@ -9,6 +9,7 @@ from surfacekit.functions import urls as U
 from surfacekit.operators import filters as FL
 from surfacekit.operators.aggregates import distinct_hosts_per_tag
 from surfacekit.operators.classify import tag_urls
+from surfacekit.operators import links as LK
 from surfacekit.operators.links import page_links
 from surfacekit.plans import sqlbits as S
 from surfacekit.plans.registry import register
@@ -113,3 +114,38 @@ def q_flt10(spark, d):
 @register("flt11_drop_static_assets", _flt_sql(rules.STATIC_ASSET_PATTERN, negate=True))
 def q_flt11(spark, d):
     return FL.drop_static_assets(T.url_corpus(spark, d)).select("url")
+
+
+_ROBOTS = f"""
+rp AS (SELECT {S.host('url')} AS host, {S.scheme('url')} || '://' || {S.authority('url')} AS base,
+              {S.path('url')} AS path, html FROM pages),
+robots_docs AS (
+  SELECT host, 'robots' AS kind, concat_ws(chr(10), 'User-agent: *', 'Disallow: ' || path, 'Allow: /',
+         '# comment line', 'Sitemap: ' || base || '/sitemap.xml') AS text FROM rp
+  UNION ALL
+  SELECT host, 'sitemap', array_to_string(list_concat(['<urlset>'], list_transform(
+         regexp_extract_all(html, 'href="(/[^"]*)"', 1), lambda x: '<url><loc>' || base || x || '</loc></url>')), chr(10))
+  FROM rp
+),
+doc_lines AS (
+  SELECT host, kind, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
+  FROM robots_docs
+)"""
+
+
+@register("ext10_robots_paths", S.with_(_ROBOTS) + f"""
+SELECT host, directive, value FROM (
+  SELECT host, lower(regexp_extract(line, {S.lit(LK.ROBOTS_DIRECTIVE)}, 1)) AS directive,
+         regexp_extract(line, {S.lit(LK.ROBOTS_DIRECTIVE)}, 2) AS value FROM doc_lines WHERE kind = 'robots')
+WHERE directive <> ''
+UNION ALL
+SELECT host, 'loc', unnest(regexp_extract_all(line, {S.lit(LK.SITEMAP_LOC)}, 1)) FROM doc_lines
+WHERE kind = 'sitemap' AND pos < {LK.SITEMAP_LINES}""")
+def q_ext10(spark, d):
+    return LK.robots_paths(T.robots_docs(spark, d))
+
+
+@register("srt1_sorted_distinct", S.with_(_URLS) + "SELECT DISTINCT host FROM url_corpus ORDER BY host")
+def q_srt1(spark, d):
+    """SRT1: distinct, sorted only at the output (range-partitioned sort)."""
+    return T.url_corpus(spark, d).select("host").distinct().orderBy("host")

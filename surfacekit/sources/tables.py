@@ -196,3 +196,19 @@ def document_corpus(spark, d) -> DataFrame:
 def secret_corpus(spark, d) -> DataFrame:
     """Scripts derived from pages plus the documents table: the leak-scan corpus."""
     return js_corpus(spark, d).unionByName(document_corpus(spark, d))
+
+
+def robots_docs(spark, d) -> DataFrame:
+    """(host, kind, text): a robots.txt and a sitemap per page, derived from the page URL and
+    its links (one document per page: never a whole host gathered into one row)."""
+    p = pages(spark, d).select("page_id", "url", "html", url_host("url").alias("host"))
+    base = F.concat(url_scheme("url"), F.lit("://"), url_authority("url"))
+    path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    robots = F.concat_ws("\n", F.lit("User-agent: *"), F.concat(F.lit("Disallow: "), path),
+                         F.lit("Allow: /"), F.lit("# comment line"),
+                         F.concat(F.lit("Sitemap: "), base, F.lit("/sitemap.xml")))
+    locs = F.transform(F.regexp_extract_all("html", F.lit(r'href="(/[^"]*)"'), 1),
+                       lambda x: F.concat(F.lit("<url><loc>"), base, x, F.lit("</loc></url>")))
+    sitemap = F.concat_ws("\n", F.concat(F.array(F.lit("<urlset>")), locs))
+    return (p.select("host", F.lit("robots").alias("kind"), robots.alias("text"))
+            .unionByName(p.select("host", F.lit("sitemap").alias("kind"), sitemap.alias("text"))))
