@@ -52,6 +52,10 @@ def match_key(col) -> Column:
     return F.when(F.length(k) >= rules.MATCH_KEY_MIN, k)
 
 
+# a token-like run (>= 12 characters of key alphabets): first 4 kept, rest redacted
+TOKEN_RUN = r"([A-Za-z0-9_+/-]{4})[A-Za-z0-9_+/-]{8,}"
+
+
 def strip_ws(col) -> Column:
     """Python-style strip of ASCII whitespace on both ends."""
     return F.regexp_replace(_c(col), r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")
@@ -69,6 +73,8 @@ def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD,
     raw = F.substring(t, start + 1, end - start)
     if mask_raw is not None:
         raw = F.replace(raw, _c(mask_raw), mask_secret(mask_raw))
+        # neighbouring secrets in the window: redact every token-like run
+        raw = F.regexp_replace(raw, TOKEN_RUN, "$1***")
     ctx = strip_ws(F.regexp_replace(raw, "\n", " "))
     return (F.when(F.length(ctx) > 200,
                    F.concat(F.substring(ctx, 1, 100), F.lit("..."),

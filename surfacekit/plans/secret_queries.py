@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from surfacekit import rules
+from surfacekit.functions.text import TOKEN_RUN
 from surfacekit.operators import secrets as SE
 from surfacekit.plans import sqlbits as S
 from surfacekit.plans.registry import register
@@ -99,7 +100,8 @@ secret_rows AS (
     {mask('substr(clean, 1, 120)')} AS match,
     CASE WHEN length(ctx) > 200 THEN substr(ctx, 1, 100) || '...' || right(ctx, 60) ELSE ctx END AS context
   FROM (
-    SELECT *, regexp_replace(replace(replace(substr(content, w_start + 1, w_end - w_start), raw, {mask('raw')}),
+    SELECT *, regexp_replace(replace(regexp_replace(replace(substr(content, w_start + 1, w_end - w_start), raw, {mask('raw')}),
+                                     {S.lit(TOKEN_RUN)}, '\\1***', 'g'),
                                      chr(10), ' '), '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS ctx
     FROM (SELECT *, greatest(0, "offset" - 60) AS w_start,
                  least(length(content), "offset" + length(raw) + 60) AS w_end FROM keyed)

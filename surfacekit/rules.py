@@ -52,11 +52,11 @@ def _lead_boundary(rest: str) -> str | None:
     return None
 
 
-def java_form(pattern: str) -> str:
+def java_form(pattern: str, lead_rewrite: bool = True) -> str:
     r"""Spark (Java regex) form of a portable pattern with RE2 semantics for ``\b``/``\s``."""
     flags = "(?i)" if pattern.startswith("(?i)") else ""
     body = pattern[len(flags):]
-    if body.startswith(r"\b"):
+    if lead_rewrite and body.startswith(r"\b"):
         lead = _lead_boundary(body[2:])
         if lead is not None:
             body = lead
