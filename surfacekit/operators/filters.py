@@ -35,16 +35,29 @@ def in_scope_expr(host: Column, domain: Column) -> Column:
     return (h == d) | F.endswith(h, F.concat(F.lit("."), d))
 
 
+def label_suffixes(host: Column) -> Column:
+    """All label suffixes of a host: a.b.example.com -> [a.b.example.com, b.example.com,
+    example.com, com] (bounded by the label count)."""
+    labels = F.split(host, r"\.")
+    n = F.size(labels)
+    return F.transform(F.sequence(F.lit(1), n),
+                       lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+
+
 def in_scope(df: DataFrame, col: str, domains: DataFrame, domain_col: str = "domain",
              keep: bool = True) -> DataFrame:
     """FLT2 / JN12: exact domain or any dotted subdomain, case-insensitive.
 
-    The scope table is a list of registrable domains, so it is broadcast; the predicate is
-    a theta condition evaluated per host against the broadcast side (no shuffle of ``df``).
-    ``keep=False`` gives the out-of-scope rows (anti join)."""
-    scope = F.broadcast(domains.select(F.lower(F.trim(F.col(domain_col))).alias("_scope")))
-    cond = in_scope_expr(F.col(col), F.col("_scope"))
-    return df.join(scope, cond, "left_semi" if keep else "left_anti")
+    "host equals d or ends with '.d'" is the same as "d is a label suffix of host", so the
+    theta condition becomes equi-joins: distinct hosts x their suffixes, semi-joined with
+    the scope on the suffix, then the rows semi/anti-joined on the host. Neither side is
+    assumed small (a scope derived from data can be large); AQE broadcasts at run time
+    when a side turns out small. ``keep=False`` gives the out-of-scope rows."""
+    scope = domains.select(F.lower(F.trim(F.col(domain_col))).alias("_s")).distinct()
+    hosts = df.select(F.lower(F.col(col)).alias("_h")).distinct()
+    hit = (hosts.select("_h", F.explode(label_suffixes(F.col("_h"))).alias("_s"))
+           .join(scope, "_s", "left_semi").select("_h").distinct())
+    return df.join(hit, F.lower(df[col]) == hit["_h"], "left_semi" if keep else "left_anti")
 
 
 def sensitive_files(df: DataFrame, col: str = "url") -> DataFrame:

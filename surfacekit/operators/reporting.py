@@ -124,10 +124,10 @@ def next_steps(stats: DataFrame, queue: int = 5) -> DataFrame:
     for prio, step, metrics in NEXT_STEPS:
         cond = F.lit(True) if not metrics else (sum((F.col(m) for m in metrics[1:]), F.col(metrics[0])) > 0)
         rows.append(F.when(cond, F.struct(F.lit(prio).alias("priority"), F.lit(step).alias("step"))))
-    s = stats.select(F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("s"))
-    s = s.select("s.priority", "s.step")
-    w = Window.orderBy("priority")  # one row of stats -> at most 10 rows here
-    return s.withColumn("rank", F.row_number().over(w)).withColumn("in_queue", F.col("rank") <= queue)
+    s = stats.select(F.posexplode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("pos", "s"))
+    # rank = position among the applicable steps (already in priority order): no window
+    return s.select("s.priority", "s.step", (F.col("pos") + 1).alias("rank"),
+                    (F.col("pos") < queue).alias("in_queue"))
 
 
 def high_value_targets(lines: DataFrame, k: int = 20) -> DataFrame:
