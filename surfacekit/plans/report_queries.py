@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from surfacekit import rules
 from surfacekit.functions.text import display_response, format_duration, line_first_token, line_last_token
+from surfacekit.functions.urls import url_host
 from surfacekit.operators import classify as C
 from surfacekit.operators import endpoints as EP
 from surfacekit.operators import filters as FL
@@ -132,43 +133,45 @@ def q_agg4(spark, d):
 
 # --------------------------------------------------------------------------- stats
 def surface_metrics(spark, d) -> DataFrame:
-    """(metric, value) for the 22 stats, each a scalar aggregate over its table."""
+    """(metric, value) for the 22 stats. Each source table is aggregated once with
+    conditional counts (one pass over the URL corpus for nine metrics, one over responses
+    for four), then the long rows are unioned."""
     urls = T.url_corpus(spark, d)
-    tags = tag_urls(urls)
     resp = O.responses(spark, d)
     live = FL.live_responses(resp)
-    routed = C.route_api_docs(live)
     js = (FL.drop_vendor_js(FL.js_urls(urls)).select("url")
           .unionByName(O.js_urls(spark, d).select("url")))
     secrets = SE.secret_findings(T.secret_corpus(spark, d)).where(F.col("tier") <= 2)
     hosts = FL.in_scope(_host_sources(spark, d), "host", I.scope_domains(spark, d))
     f = FD.findings(spark, d).select("finding", "vuln_class").distinct()
 
-    def m(name, df):
-        return df.select(F.lit(name).alias("metric"), F.col("value").cast("bigint").alias("value"))
+    def long(df, names):
+        return df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"),
+                                                      F.col(n).cast("bigint").alias("value"))
+                                             for n in names])).alias("m")).select("m.*")
 
-    parts = [
-        m("total_subdomains", hosts.agg(F.countDistinct("host").alias("value"))),
-        m("live_hosts", live.agg(F.countDistinct(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#@]*@)?([^/?#:]*)", 2)).alias("value"))),
-        m("open_ports", I.ports(spark, d).agg(F.count("*").alias("value"))),
-        m("total_urls", urls.agg(F.count("*").alias("value"))),
-        m("live_endpoints", live.agg(F.countDistinct("url").alias("value"))),
-        m("js_files", js.agg(F.countDistinct("url").alias("value"))),
-        m("secrets_found", secrets.agg(F.count("*").alias("value"))),
-        m("api_docs", routed.agg(F.sum(F.col("is_api_doc").cast("int")).alias("value"))),
-        m("graphql_endpoints", routed.agg(F.sum(F.col("is_graphql").cast("int")).alias("value"))),
-    ]
     tag_metric = {"admin": "admin_panels", "sensitive": "sensitive_files", "high_impact": "high_impact_files",
                   "xss": "xss_candidates", "sqli": "sqli_candidates", "ssrf": "ssrf_candidates",
                   "redirect": "redirect_cands", "idor": "idor_candidates"}
-    tm = F.create_map(*[x for k, v in tag_metric.items() for x in (F.lit(k), F.lit(v))])
-    parts.append(tags.where(F.col("tag").isin(list(tag_metric))).groupBy("tag").count()
-                 .select(tm[F.col("tag")].alias("metric"), F.col("count").cast("bigint").alias("value")))
+    tagged = urls.select(C.tag_array("url").alias("tags"))
+    url_aggs = tagged.agg(F.count("*").alias("total_urls"),
+                          *[F.sum(F.array_contains("tags", t).cast("int")).alias(m) for t, m in tag_metric.items()])
+    host = url_host("url")
+    resp_aggs = live.agg(F.countDistinct(host).alias("live_hosts"), F.countDistinct("url").alias("live_endpoints"),
+                         F.sum(F.col("url").rlike(r"(?i)swagger|openapi|api-docs|redoc").cast("int")).alias("api_docs"),
+                         F.sum(F.col("url").rlike(r"(?i)graphql|graphiql").cast("int")).alias("graphql_endpoints"))
     cls_metric = {"cves": "cves", "misconfigurations": "misconfigs", "default_logins": "default_logins",
                   "takeovers": "takeovers", "exposures": "exposures"}
-    cm = F.create_map(*[x for k, v in cls_metric.items() for x in (F.lit(k), F.lit(v))])
-    parts.append(f.where(F.col("vuln_class").isin(list(cls_metric))).groupBy("vuln_class").count()
-                 .select(cm[F.col("vuln_class")].alias("metric"), F.col("count").cast("bigint").alias("value")))
+    f_aggs = f.agg(*[F.sum((F.col("vuln_class") == c).cast("int")).alias(m) for c, m in cls_metric.items()])
+    parts = [
+        long(url_aggs, ["total_urls", *tag_metric.values()]),
+        long(resp_aggs, ["live_hosts", "live_endpoints", "api_docs", "graphql_endpoints"]),
+        long(f_aggs, list(cls_metric.values())),
+        long(hosts.agg(F.countDistinct("host").alias("total_subdomains")), ["total_subdomains"]),
+        long(I.ports(spark, d).agg(F.count("*").alias("open_ports")), ["open_ports"]),
+        long(js.agg(F.countDistinct("url").alias("js_files")), ["js_files"]),
+        long(secrets.agg(F.count("*").alias("secrets_found")), ["secrets_found"]),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
