@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from surfacekit import rules
 from surfacekit.functions.text import strip_ws
 from surfacekit.functions.urls import source_map_url
+from surfacekit.operators.partitioning import spread
 
 
 def extract_endpoints(corpus: DataFrame, text_col: str = "content") -> DataFrame:
@@ -18,7 +19,7 @@ def extract_endpoints(corpus: DataFrame, text_col: str = "content") -> DataFrame
         F.regexp_extract_all(t, F.lit(rules.java_form(p)), g)
         for p, g in zip(rules.ENDPOINT_PATTERNS, rules.ENDPOINT_GROUPS)]))
     ep = strip_ws(F.col("ep"))
-    return (corpus.select(F.explode(eps).alias("ep")).select(ep.alias("endpoint"))
+    return (spread(corpus).select(F.explode(eps).alias("ep")).select(ep.alias("endpoint"))
             .where((F.length("endpoint") >= 3) & (F.length("endpoint") <= 250)
                    & ~F.col("endpoint").rlike("(?i)" + rules.ENDPOINT_STATIC))
             .distinct())
@@ -76,7 +77,7 @@ def cloud_references(texts: DataFrame, text_col: str = "text") -> DataFrame:
                     lambda x: F.struct(F.lit("s3").alias("provider"), x.alias("ref"))),
         *[F.transform(F.regexp_extract_all(F.lower(t), F.lit(p), 0), _tagger(name))
           for name, p in CLOUD_HOST_PATTERNS])
-    return (texts.select(F.explode(F.flatten(found)).alias("r"))
+    return (spread(texts).select(F.explode(F.flatten(found)).alias("r"))
             .select("r.provider", "r.ref").distinct())
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit.functions.urls import url_authority, url_path, url_scheme
+from surfacekit.operators.partitioning import spread
 
 # attribute values of href / src / action (double or single quoted)
 LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*["']([^"'<>]*)["']"""
@@ -33,7 +34,7 @@ def resolve_link(page_url, link):
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, page_url, link, url) for every href/src/action of every page."""
-    raw = pages.select(
+    raw = spread(pages).select(
         "page_id", F.col(url_col).alias("page_url"),
         F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK_ATTR), 2)).alias("raw"))
     link = F.trim(F.col("raw"))

@@ -1,0 +1,21 @@
+"""Partitioning helpers shared by the text-scanning operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a text corpus enough partitions to use every core.
+
+    A table read from few files arrives in few partitions (one per row group) and a
+    whole-text regex scan is CPU-bound per row. Only in that case is it round-robin
+    repartitioned (to 4x the default parallelism); a corpus of many files -- the cluster
+    case -- already has enough partitions and is left alone, so no text is shuffled there.
+    Streaming frames are returned unchanged."""
+    if df.isStreaming:
+        return df
+    want = min_partitions or 4 * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from surfacekit import rules
 from surfacekit.functions.text import context_window, mask_secret
+from surfacekit.operators.partitioning import spread
 
 Rules = Sequence[rules.SecretRule]
 
@@ -37,21 +38,6 @@ def _gate(low: Column, rule: rules.SecretRule) -> Column:
     return cond
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a text corpus enough partitions to use every core.
-
-    A corpus read from few files arrives in few partitions (one per row group), and the
-    scan is CPU-bound per document. Only then is it round-robin repartitioned; a corpus of
-    many files (the cluster case) is left alone, so no shuffle of the text happens there."""
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    want = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
                  id_col: str = "url", text_col: str = "content") -> DataFrame:
     """EXT1 + EXT3: every match of every rule in every document, with its offset.
