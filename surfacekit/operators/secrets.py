@@ -63,12 +63,16 @@ def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
         g = F.split(F.col("content"), r.spark_pattern, -1)
         gaps = F.when(F.col("rule_ord") == r.ord, g) if gaps is None else gaps.when(
             F.col("rule_ord") == r.ord, g)
-    lg = F.transform(gaps, lambda x: F.length(x))
+    # one match (the usual case): its offset is the first gap's length -- no lambdas
+    single = F.size(F.col("m")) == 1
+    lg = (F.when(single, F.array(F.length(F.element_at(gaps, 1))))
+          .otherwise(F.transform(gaps, lambda x: F.length(x))))
     lm = F.transform(F.col("m"), lambda x: F.length(x))
-    offsets = F.transform(
+    several = F.transform(
         F.col("m"),
         lambda _x, i: F.aggregate(F.slice(F.col("lg"), 1, i + 1), F.lit(0), lambda a, b: a + b)
         + F.aggregate(F.slice(F.col("lm"), 1, i), F.lit(0), lambda a, b: a + b))
+    offsets = F.when(single, F.col("lg")).otherwise(several)
     meta = F.create_map(*[x for r in rule_set for x in (F.lit(r.ord), F.struct(
         F.lit(r.tier).alias("tier"), F.lit(r.name).alias("type"),
         F.lit(r.noise_exempt).alias("noise_exempt")))])
