@@ -10,6 +10,7 @@ from surfacekit.plans import response_queries  # noqa: F401
 from surfacekit.plans import infra_queries  # noqa: F401
 from surfacekit.plans import report_queries  # noqa: F401
 from surfacekit.plans import stream_queries  # noqa: F401
+from surfacekit.plans import io_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
