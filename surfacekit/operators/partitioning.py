@@ -15,7 +15,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Streaming frames are returned unchanged."""
     if df.isStreaming:
         return df
-    want = min_partitions or 4 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:  # classic sessions; Spark Connect has no RDD view, there the input is left alone
+        want = min_partitions or 4 * df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return df
+    if have >= want:
         return df
     return df.repartition(want)

@@ -47,5 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="surfacekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions: DataFrame.checkpoint() uses the context's folder
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - Spark Connect reads spark.checkpoint.dir itself
+        pass
     return path
