@@ -16,6 +16,7 @@ Plan shape (all narrow until the dedup aggregate):
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,14 @@ def _gate(low: Column, rule: rules.SecretRule) -> Column:
     return cond
 
 
+_CONTEXT = re.compile(r"\(\?<?[=!]|\\b|(?<!\[)\^|\$")
+
+
+def context_free(java_pattern: str) -> bool:
+    """True when whether a string matches depends only on the characters it consumes."""
+    return _CONTEXT.search(java_pattern) is None
+
+
 def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
                  id_col: str = "url", text_col: str = "content") -> DataFrame:
     """EXT1 + EXT3: every match of every rule in every document, with its offset.
@@ -57,15 +66,21 @@ def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
                 .select("url", "content", F.col("h.rule_ord").alias("rule_ord"),
                         F.col("h.m").alias("m")))
 
-    # gaps between consecutive matches, with the same literal pattern per rule
+    # gaps between consecutive matches, with the same literal pattern per rule.
+    # Shortcut (exact): a single match of a context-free rule (no look-around, boundary
+    # or anchor) starts at the first occurrence of its text -- an earlier occurrence would
+    # have matched there too -- so position() replaces the second regex pass.
+    cf = [r.ord for r in rule_set if context_free(r.spark_pattern)]
+    single = F.size(F.col("m")) == 1
+    single_cf = single & F.col("rule_ord").isin(cf)
     gaps = None
     for r in rule_set:
         g = F.split(F.col("content"), r.spark_pattern, -1)
         gaps = F.when(F.col("rule_ord") == r.ord, g) if gaps is None else gaps.when(
             F.col("rule_ord") == r.ord, g)
     # one match (the usual case): its offset is the first gap's length -- no lambdas
-    single = F.size(F.col("m")) == 1
-    lg = (F.when(single, F.array(F.length(F.element_at(gaps, 1))))
+    lg = (F.when(single_cf, F.array(F.position(F.element_at("m", 1), F.col("content")) - 1))
+          .when(single, F.array(F.length(F.element_at(gaps, 1))))
           .otherwise(F.transform(gaps, lambda x: F.length(x))))
     lm = F.transform(F.col("m"), lambda x: F.length(x))
     several = F.transform(
