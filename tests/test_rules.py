@@ -60,6 +60,22 @@ NEGATIVE = {
     "Email_Address": "no at sign here",
     "Private_Key_PEM": "-----BEGIN PUBLIC KEY-----",
     "Google_API_Key": "AI" + "za" + tok(10),
+    "AWS_Secret_Key": "aws_secret_access_key = '" + tok(20) + "'",
+    "GitHub_Token": "gh" + "x_" + tok(40),
+    "Slack_Token": "xo" + "xz-" + tok(20),
+    "Stripe_Secret": "sk" + "_prod_" + tok(24),
+    "Sendgrid": "SG." + tok(10) + "." + tok(10),
+    "Twilio_SID": "AC" + tok(12),
+    "JWT_Token": "eyJ" + tok(5) + "." + tok(5),
+    "Mailgun_Key": "key" + "-" + tok(10),
+    "Firebase_URL": "https://ab.firebaseio.com",
+    "DB_ConnString": "mysql://a",
+    "Bearer_Token": "bearer short",
+    "API_Key_Assign": 'api_key = "short"',
+    "Password_Assign": 'password = "short"',
+    "S3_Bucket_Ref": "s3://ab",
+    "Webhook_URL": "https://hooks.example.org/services/x",
+    "Generic_Token_Hex": 'token = "' + "0123456789abcdef" + '"',
 }
 
 
