@@ -113,7 +113,7 @@ class Matcher:
                 yield item_id, *min(found)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_chars: int = 4_000_000) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.08, block_chars: int = 4_000_000) -> DataFrame:
     """One row (doc_id, item_id, distance, start, end) for each document and item of which it
     holds a passage within ``rate`` edits a character; places are in the normal form.
 

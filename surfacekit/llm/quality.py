@@ -46,6 +46,7 @@ def text_statistics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         _share(words, lines).alias("words_per_line"),
         _share(lines - F.size(F.array_distinct("_l")), lines).alias("repeated_lines"),
         _share(without(SYMBOLS), chars).alias("symbol_share"),
+        _share(F.size(F.filter("_w", lambda w: F.length(F.translate(w, SYMBOLS, "")) < F.length(w))), words).alias("symbol_words"),
         _share(without("0123456789"), chars).alias("digit_share"),
         _share(without(".,;:!?"), chars).alias("punctuation_share"),
         _share(without("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars).alias("upper_share"),
@@ -98,7 +99,7 @@ def _simplified(path: tuple) -> tuple:
 
 
 def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", max_rows: int = 20_000, trees: int = 24,
-        depth: int = 3, penalty: float = 0.002, seed: int = 7) -> RuleModel:
+        depth: int = 4, penalty: float = 0.0005, seed: int = 7) -> RuleModel:
     """Learns from labelled rows outside the held-out fold; at most ``max_rows`` of them, the
     ones with the smallest hashes of their ids."""
     names = [c for c, kind in stats.dtypes if c != "doc_id" and kind == "double"]
