@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surfacekit.llm import decontaminate, packing, quality
+from surfacekit.llm import decontaminate, ngram_join, packing, quality, substring_dedup
 from surfacekit.llm.common import table
 
 END_ID = 2
@@ -17,6 +17,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -29,5 +38,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op6_decontamination, op9_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_ngram_join, op5_substring_dedup, op6_decontamination, op9_quality, op10_packing)}
 ORACLE: dict[str, str] = {}

@@ -76,7 +76,15 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
 
 def sequence_hash(words: np.ndarray, salt: int) -> int:
     """Hash of a whole word sequence, distinct from all n-gram hashes by its salt."""
-    total = np.uint64(salt)
-    for w in words:
-        total = mix(np.array([total * np.uint64(_BASE) + w]))[0]
-    return int(total)
+    total = np.array([salt], dtype=np.uint64)
+    for k in range(len(words)):
+        total = mix(total * np.uint64(_BASE) + words[k : k + 1])
+    return int(total[0])
+
+
+def range_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the word sequence from each start to each end (exclusive)."""
+    pw, ipw = _powers(_BASE, len(words) + 1), _powers(pow(_BASE, -1, 2**64), len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * pw[: len(words)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * ipw[starts] + (ends - starts).astype(np.uint64))
