@@ -5,7 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surfacekit.llm import decontaminate, ngram_join, packing, quality, substring_dedup
+from surfacekit.llm import (
+    dated_lists,
+    decontaminate,
+    hamming_search,
+    language_mixture,
+    ngram_join,
+    packing,
+    quality,
+    substring_dedup,
+    url_lists,
+)
 from surfacekit.llm.common import table
 
 END_ID = 2
@@ -17,6 +27,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming_search.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -30,6 +45,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.listed(dated_lists.captures(pages), dated_lists.entries(pages))
+
+
+def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,5 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_join, op5_substring_dedup, op6_decontamination, op9_quality, op10_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_hamming_search, op3_ngram_join, op5_substring_dedup, op6_decontamination, op7_url_lists,
+    op8_language_mixture, op9_quality, op10_packing)}
+ORACLE: dict[str, str] = {"op7_url_lists": dated_lists.ORACLE}
