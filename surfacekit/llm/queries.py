@@ -9,7 +9,9 @@ from surfacekit.llm import (
     dated_lists,
     decontaminate,
     hamming_search,
+    html_text,
     language_mixture,
+    licences,
     ngram_join,
     packing,
     quality,
@@ -32,10 +34,18 @@ def op1_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -63,6 +73,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_hamming_search, op3_ngram_join, op5_substring_dedup, op6_decontamination, op7_url_lists,
+    op1_hamming_search, op2_licences, op3_ngram_join, op4_html_text, op5_substring_dedup, op6_decontamination, op7_url_lists,
     op8_language_mixture, op9_quality, op10_packing)}
 ORACLE: dict[str, str] = {"op7_url_lists": dated_lists.ORACLE}
