@@ -21,31 +21,113 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import worker_cache
+from surfacekit.llm.common import text_chunks, worker_cache
+from surfacekit.llm.words import SPACE, WordHasher
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+_CLASS = np.full(256, 2, dtype=np.uint8)  # 0 white space, 1 letters, 2 other signs
+_CLASS[SPACE] = 0
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_ODD = np.zeros(256, dtype=bool)  # bytes of chunks that are encoded whole: see WordTokenizer
+_ODD[[ord("'"), ord("<"), *range(1, 9), *range(14, 32), 0xC2, *range(0xCA, 256)]] = True
+
+
 class WordTokenizer:
-    """Encodes by chunks between ASCII white space, keeping the ids of chunks already seen:
-    the tokenizer drops white space and never joins across it, so the ids are the same."""
+    """Encodes many texts at once by their units, each encoded once and kept.
 
-    def __init__(self, path: str, most: int = 200_000) -> None:
+    The tokenizer drops white space, lower-cases, and never joins across white space or from
+    letters to signs, so a text's ids are those of its runs of letters and of signs in order.
+    That holds for ASCII and the letters U+00C0 to U+024F; a chunk between white space with any
+    other sign, an apostrophe or a "<" (contractions, special tokens, marks that combine) is a
+    unit as a whole. New words of a batch are encoded in one call and told apart by their last
+    token, which carries the end mark of a word. Units are kept by a 64-bit hash."""
+
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.encoder, self.most = Tokenizer.from_file(path), most
-        self.seen: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        chunks = (text or "").encode().split()
-        seen = self.seen
-        if len(seen) > self.most:
-            seen.clear()
-        new = list({c for c in chunks if c not in seen})
-        for c, e in zip(new, self.encoder.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
-            seen[c] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return b"".join([seen[c] for c in chunks])
+        vocabulary = self.encoder.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.lower, self.exact = WordHasher(lower=True), WordHasher()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[int, int] = {}
+        self.ids, self.begin = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if len(self.number) > self.most:
+            self._forget()
+        joined = np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", dtype=np.uint8)
+        starts, ends, whole = _units(joined)
+        hashes = self.lower.spans(joined, starts, ends)
+        if whole.any():
+            hashes[whole] = ~self.exact.spans(joined, starts[whole], ends[whole])
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        new = np.concatenate((np.ones(min(1, len(order)), dtype=bool), ranked[1:] != ranked[:-1]))
+        first, which = order[new], np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        keys = ranked[new].tolist()
+        new = [k for k, h in enumerate(keys) if h not in self.number]
+        if new:
+            raw, at = joined.tobytes(), first[new]
+            self._learn([keys[k] for k in new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())],
+                        (_CLASS[joined[starts[at]]] == 1) & ~whole[at])
+        unit = np.fromiter(map(self.number.__getitem__, keys), dtype=np.int64, count=len(keys))[which]
+        sizes = np.diff(self.begin)[unit]
+        stops = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.begin[unit] - stops + sizes, sizes) + np.arange(int(stops[-1]) if len(stops) else 0)].tobytes()
+        bounds = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+        at = (4 * np.concatenate(([0], stops))[np.searchsorted(starts, bounds)]).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self, hashes: list[int], units: list[bytes], words: np.ndarray) -> None:
+        simple, rest = np.flatnonzero(words).tolist(), np.flatnonzero(~words).tolist()
+        ids = np.asarray(self.encoder.encode(b" ".join([units[k] for k in simple]).decode(), add_special_tokens=False).ids, dtype="<u4")
+        sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(sizes) != len(simple):  # a word that is not one word to the tokenizer
+            simple, rest, ids, sizes = [], simple + rest, ids[:0], sizes[:0]
+        parts = [np.asarray(e.ids, dtype="<u4") for e in
+                 self.encoder.encode_batch_fast([units[k].decode() for k in rest], add_special_tokens=False)]
+        base = len(self.number)
+        self.number.update((hashes[k], base + n) for n, k in enumerate(simple + rest))
+        self.ids = np.concatenate((self.ids, ids, *parts))
+        sizes = np.concatenate((sizes, np.array([len(x) for x in parts], dtype=np.int64)))
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
+
+
+def _units(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, is a whole chunk) of every unit: runs of one class of bytes, or the whole
+    chunk between white space where it holds an odd byte."""
+    kind = np.concatenate(([0], _CLASS[joined]))
+    edge = kind[1:] != kind[:-1]
+    odd = np.flatnonzero(_ODD[joined] | _odd_pairs(joined))
+    solid = (kind != 0).astype(np.int8)
+    turns = np.diff(solid)
+    heads, tails = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+    chunk = np.unique(np.searchsorted(heads, odd, side="right") - 1)
+    starts = edge & (kind[1:] != 0)
+    ends = edge & (kind[:-1] != 0)
+    for c in chunk.tolist():
+        starts[heads[c] + 1 : tails[c]] = False
+        ends[heads[c] + 1 : tails[c]] = False
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
+    whole = np.zeros(len(starts), dtype=bool)
+    whole[np.searchsorted(starts, heads[chunk])] = True
+    return starts, ends, whole
+
+
+def _odd_pairs(joined: np.ndarray) -> np.ndarray:
+    """The signs U+00D7 and U+00F7, which are no letters, and U+0130, whose small form is two."""
+    out = np.zeros(len(joined), dtype=bool)
+    lead, after = joined[:-1], joined[1:]
+    out[:-1] = (lead == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (lead == 0xC4) & (after == 0xB0)
+    return out
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -58,8 +140,9 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, extra: tuple[str, ..
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                ids = pa.array([encode(t) + last for t in part.column("text").to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), ids], [*names, "ids"])
+                texts = part.column("text").cast(pa.binary()).to_pylist()
+                ids = [x + last for a, b in text_chunks(texts, 1 << 22) for x in encode(texts[a:b])]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.binary())], [*names, "ids"])
 
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in names) + ", ids binary"

@@ -46,21 +46,25 @@ class WordHasher:
         """texts: bytes or None. Returns (bytes joined by LF, word starts, word ends, word
         hashes, first word of each text and, last, the number of words)."""
         joined = np.frombuffer(b"\n".join(t or b"" for t in texts) + b"\n", dtype=np.uint8)
+        solid = np.empty(len(joined) + 1, dtype=np.int8)
+        solid[0], solid[1:] = 0, ~SPACE[joined]
+        edge = np.diff(solid)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        hashes = self.spans(joined, starts, ends)
+        lengths = np.fromiter((len(t) + 1 if t else 1 for t in texts), dtype=np.int64, count=len(texts))
+        firsts = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
+        return joined, starts, ends, hashes, firsts
+
+    def spans(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from each start to each end."""
         n = len(joined)
         if len(self.pw) < n + 1:
             self.pw = _powers(_BASE, n + 1)
             self.ipw = _powers(pow(_BASE, -1, 2**64), n + 1)
-        solid = np.empty(n + 1, dtype=np.int8)
-        solid[0], solid[1:] = 0, ~SPACE[joined]
-        edge = np.diff(solid)
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         sums = np.empty(n + 1, dtype=np.uint64)
         sums[0] = 0
         np.cumsum(self.values[joined] * self.pw[:n], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * self.ipw[starts])
-        lengths = np.fromiter((len(t) + 1 if t else 1 for t in texts), dtype=np.int64, count=len(texts))
-        firsts = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
-        return joined, starts, ends, hashes, firsts
+        return mix((sums[ends] - sums[starts]) * self.ipw[starts])
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
