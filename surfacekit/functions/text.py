@@ -10,9 +10,8 @@ from surfacekit import rules
 HTTP_URL = r"https?://[^ \t\n\f\r]+"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_ANCHORED = r"^" + _OCTET + r"(\." + _OCTET + r"){3}$"
-# strict IPv4 token inside text: maximal dotted digit groups (no trailing dot) that form
-# an address
-IPV4_RUN = r"[0-9]+(\.[0-9]+)*"
+# a run of digits and dots; without a repeated group it needs no stack on long runs
+DOTTED_RUN = r"[0-9][0-9.]*"
 
 
 def _c(col) -> Column:
@@ -42,8 +41,13 @@ def extract_http_urls(text) -> Column:
 def extract_ipv4(text) -> Column:
     """PRJ9 (strict, fixes the missing-dot quirk): dotted digit groups that are complete
     addresses."""
-    return F.filter(F.regexp_extract_all(_c(text), F.lit(IPV4_RUN), 0),
-                    lambda x: x.rlike(IPV4_ANCHORED))
+    return F.filter(dotted_groups(text), lambda x: x.rlike(IPV4_ANCHORED))
+
+
+def dotted_groups(text) -> Column:
+    """Maximal digit groups joined by single dots, without dots at their ends."""
+    runs = F.regexp_extract_all(_c(text), F.lit(DOTTED_RUN), 0)
+    return F.filter(F.flatten(F.transform(runs, lambda r: F.split(F.rtrim(r, F.lit(".")), r"\.\.+"))), lambda x: x != "")
 
 
 def match_key(col) -> Column:
@@ -61,19 +65,19 @@ def strip_ws(col) -> Column:
     return F.regexp_replace(_c(col), r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")
 
 
-def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD,
-                   mask_raw=None) -> Column:
-    """PRJ11: ``pad`` characters each side of [offset, offset+len) (0-based offset),
-    newlines -> space, stripped; when longer than 200: first 100 + '...' + last 60.
-    With ``mask_raw`` every occurrence of that string in the window is masked first, so
-    truncation can never expose part of a secret."""
+def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD) -> Column:
+    """PRJ11: ``pad`` characters each side of [offset, offset+len) (0-based offset), tidied."""
     t, o, n = _c(text), _c(offset), _c(match_len)
     start = F.greatest(F.lit(0), o - pad)
     end = F.least(F.length(t), o + n + pad)
-    raw = F.substring(t, start + 1, end - start)
-    if mask_raw is not None:
-        raw = F.replace(raw, _c(mask_raw), mask_secret(mask_raw))
-        # neighbouring secrets in the window: redact every token-like run
+    return tidy_context(F.substring(t, start + 1, end - start), redact=False)
+
+
+def tidy_context(window, redact: bool = True) -> Column:
+    """PRJ11: newlines -> space, stripped; when longer than 200: first 100 + '...' + last 60.
+    Token-like runs that no rule matched are cut to four characters."""
+    raw = _c(window)
+    if redact:
         raw = F.regexp_replace(raw, TOKEN_RUN, "$1***")
     ctx = strip_ws(F.regexp_replace(raw, "\n", " "))
     return (F.when(F.length(ctx) > 200,
@@ -82,10 +86,10 @@ def context_window(text, offset, match_len, pad: int = rules.CONTEXT_PAD,
             .otherwise(ctx))
 
 
-def mask_secret(col) -> Column:
-    """PRJ15 (ours, safety): first 4 characters + '***' + 8 hex of md5."""
+def mask_secret(col, key: str = rules.DIGEST_KEY) -> Column:
+    """PRJ15 (ours, safety): first 4 characters + '***' + 8 hex of a keyed sha-256 of all."""
     c = _c(col)
-    return F.concat(F.substring(c, 1, 4), F.lit("***"), F.substring(F.md5(c), 1, 8))
+    return F.concat(F.substring(c, 1, 4), F.lit("***"), F.substring(F.sha2(F.concat(F.lit(key), c), 256), 1, 8))
 
 
 def format_duration(secs) -> Column:

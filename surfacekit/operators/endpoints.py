@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from surfacekit import rules
 from surfacekit.functions.text import strip_ws
 from surfacekit.functions.urls import source_map_url
-from surfacekit.operators.partitioning import spread
 
 
 def extract_endpoints(corpus: DataFrame, text_col: str = "content") -> DataFrame:
-    """EXT6: the four call-site shapes, trimmed, length 3..250, static assets dropped,
-    distinct. One projection (literal patterns), one distinct aggregate."""
+    """EXT6: the four call-site shapes, trimmed, three characters or more, static assets
+    dropped, distinct. One projection (literal patterns), one distinct aggregate."""
     t = F.col(text_col)
     eps = F.flatten(F.array(*[
-        F.regexp_extract_all(t, F.lit(rules.java_form(p)), g)
-        for p, g in zip(rules.ENDPOINT_PATTERNS, rules.ENDPOINT_GROUPS)]))
+        F.regexp_extract_all(t, F.lit(rules.java_form(p)), 1) for p in rules.ENDPOINT_PATTERNS]))
     ep = strip_ws(F.col("ep"))
-    return (spread(corpus).select(F.explode(eps).alias("ep")).select(ep.alias("endpoint"))
-            .where((F.length("endpoint") >= 3) & (F.length("endpoint") <= 250)
-                   & ~F.col("endpoint").rlike("(?i)" + rules.ENDPOINT_STATIC))
+    return (corpus.select(F.explode(eps).alias("ep")).select(ep.alias("endpoint"))
+            .where((F.length("endpoint") >= 3) & ~F.col("endpoint").rlike("(?i)" + rules.ENDPOINT_STATIC))
             .distinct())
 
 
@@ -77,21 +74,21 @@ def cloud_references(texts: DataFrame, text_col: str = "text") -> DataFrame:
                     lambda x: F.struct(F.lit("s3").alias("provider"), x.alias("ref"))),
         *[F.transform(F.regexp_extract_all(F.lower(t), F.lit(p), 0), _tagger(name))
           for name, p in CLOUD_HOST_PATTERNS])
-    return (spread(texts).select(F.explode(F.flatten(found)).alias("r"))
+    return (texts.select(F.explode(F.flatten(found)).alias("r"))
             .select("r.provider", "r.ref").distinct())
 
 
-# FIXED VALUES: interesting original-source names in a source map, shown top 6 per map.
+# FIXED VALUES: interesting original-source names in a source map.
 INTERESTING_SOURCE = r"(?i)(api|auth|config|secret|token|key|pay|admin)"
 
 
-def explode_source_map(maps: DataFrame, k: int = 6) -> DataFrame:
-    """ARR4: original file list of every map (not only the first), flagged, first ``k``
-    interesting names per map by position."""
-    e = maps.select("map_url", F.posexplode("sources").alias("pos", "source"))
-    flagged = e.where(F.col("source").rlike(INTERESTING_SOURCE))
-    w = Window.partitionBy("map_url").orderBy("pos")
-    return flagged.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def explode_source_map(maps: DataFrame) -> DataFrame:
+    """ARR4: every interesting original file of every map, with its position in the map and
+    its rank among the map's interesting ones. Within the map's own array: no shuffle."""
+    numbered = F.transform("sources", lambda s, i: F.struct(i.alias("pos"), s.alias("source")))
+    flagged = F.filter(numbered, lambda x: x["source"].rlike(INTERESTING_SOURCE))
+    e = maps.select("map_url", F.posexplode(flagged).alias("before", "s"))
+    return e.select("map_url", "s.pos", "s.source", (F.col("before") + 1).alias("rank"))
 
 
 def exposed_source_maps(js: DataFrame, responses: DataFrame, url_col: str = "url") -> DataFrame:

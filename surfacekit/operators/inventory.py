@@ -43,7 +43,7 @@ def mail_auth_audit(domains: DataFrame, dns: DataFrame,
     spf = (txt.where(F.lower("value").contains("v=spf")).select(F.col("name").alias("domain"))
            .distinct().withColumn("has_spf", F.lit(True)))
     dmarc = (txt.where(F.col("name").startswith("_dmarc."))
-             .select(F.substring("name", 8, 10 ** 6).alias("domain")).distinct()
+             .select(F.expr("substring(name, 8)").alias("domain")).distinct()
              .withColumn("has_dmarc", F.lit(True)))
     out = (domains.select("domain").distinct()
            .join(spf, "domain", "left").join(dmarc, "domain", "left")
@@ -153,27 +153,16 @@ def cidr_bounds(cidr: Column) -> tuple[Column, Column, Column]:
     return lo, lo + size - 1, bits
 
 
-BROADCAST_RANGES_MAX = 200_000
-
-
-def ip_to_network(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip",
-                  broadcast_max: int = BROADCAST_RANGES_MAX) -> DataFrame:
-    """JN8: range join IPv4 -> CIDR, longest prefix wins.
-
-    The range table's size is checked: up to ``broadcast_max`` rows it is broadcast and
-    the ``between`` runs against it; beyond that both sides are bucketed by /16 (a range
-    is exploded into the /16 buckets it spans) and equi-joined on the bucket, so neither
-    side is broadcast. Longest prefix = max over a per-IP hash aggregate."""
-    lo, hi, bits = cidr_bounds(F.col("cidr"))
-    r = ranges.select("cidr", "asn", lo.alias("lo"), hi.alias("hi"), bits.alias("bits"))
+def ip_to_network(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
+    """JN8: IPv4 -> CIDR, longest prefix wins. An address lies in a range exactly when its
+    network of the range's prefix length is the range's, so each distinct address is joined
+    by its 33 masked networks on (prefix length, network): one equi-join at any table size."""
+    lo, _, bits = cidr_bounds(F.col("cidr"))
+    r = ranges.select("cidr", "asn", lo.alias("net"), bits.alias("bits"))
     i = ips.select(F.col(ip_col).alias("ip")).distinct().withColumn("n", ipv4_to_long(F.col("ip")))
-    i = i.where(F.col("n").isNotNull())
-    if ranges.count() <= broadcast_max:
-        j = i.join(F.broadcast(r), (F.col("n") >= F.col("lo")) & (F.col("n") <= F.col("hi")))
-    else:
-        rb = r.withColumn("b", F.explode(F.sequence(F.shiftright("lo", 16), F.shiftright("hi", 16))))
-        ib = i.withColumn("b", F.shiftright("n", 16))
-        j = ib.join(rb, "b").where((F.col("n") >= F.col("lo")) & (F.col("n") <= F.col("hi")))
+    i = i.where(F.col("n").isNotNull()).select("ip", "n", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bits"))
+    size = F.pow(F.lit(2), 32 - F.col("bits")).cast("bigint")
+    j = i.select("ip", "bits", (F.col("n") - F.pmod(F.col("n"), size)).alias("net")).join(r, ["bits", "net"])
     best = j.groupBy("ip").agg(F.max(F.struct("bits", "cidr", "asn")).alias("m"))
     return best.select("ip", F.col("m.cidr").alias("cidr"), F.col("m.asn").alias("asn"),
                        F.col("m.bits").alias("prefix"))

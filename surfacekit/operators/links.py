@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit.functions.urls import url_authority, url_path, url_scheme
-from surfacekit.operators.partitioning import spread
 
 # attribute values of href / src / action (double or single quoted)
 LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*["']([^"'<>]*)["']"""
@@ -34,7 +33,7 @@ def resolve_link(page_url, link):
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, page_url, link, url) for every href/src/action of every page."""
-    raw = spread(pages).select(
+    raw = pages.select(
         "page_id", F.col(url_col).alias("page_url"),
         F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK_ATTR), 2)).alias("raw"))
     link = F.trim(F.col("raw"))
@@ -43,21 +42,20 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return out.where(F.col("url").isNotNull() & F.col("url").rlike(r"(?i)^https?://"))
 
 
-# FIXED VALUES: robots / sitemap directives kept; sitemaps are read to their first 50 lines.
+# FIXED VALUES: robots / sitemap directives kept.
 ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
 SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"
-SITEMAP_LINES = 50
 
 
 def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind",
                  text_col: str = "text") -> DataFrame:
     """EXT10 (re-aimed): paths and sitemap URLs from stored robots.txt / sitemap text.
-    (host, directive, value); sitemap documents are read to their first 50 lines."""
-    lines = docs.select(host_col, kind_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    (host, directive, value), from every line."""
+    lines = docs.select(host_col, kind_col, F.explode(F.split(F.col(text_col), "\n")).alias("line"))
     robots = (lines.where(F.col(kind_col) == "robots")
               .select(host_col, F.lower(F.regexp_extract("line", ROBOTS_DIRECTIVE, 1)).alias("directive"),
                       F.regexp_extract("line", ROBOTS_DIRECTIVE, 2).alias("value")))
-    sitemap = (lines.where((F.col(kind_col) == "sitemap") & (F.col("pos") < SITEMAP_LINES))
+    sitemap = (lines.where(F.col(kind_col) == "sitemap")
                .select(host_col, F.lit("loc").alias("directive"),
                        F.explode(F.regexp_extract_all("line", F.lit(SITEMAP_LOC), 1)).alias("value")))
     return robots.where(F.col("directive") != "").unionByName(sitemap)

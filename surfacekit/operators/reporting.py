@@ -35,10 +35,10 @@ NOISE_MARKERS = ("[WRN]", "[INF]")
 
 def phase_anomalies(phases: DataFrame) -> DataFrame:
     """AGG3: 'did not really run' (success, 0 findings, < 2 s) and errored phases with their
-    first meaningful error line (noise lines skipped), cut to 100 characters."""
+    first meaningful error line (noise lines skipped)."""
     lines = F.split(F.coalesce("error", F.lit("")), "\n")
     meaningful = F.filter(lines, lambda l: (F.trim(l) != "") & ~l.contains("[WRN]") & ~l.contains("[INF]"))
-    first = F.substring(F.coalesce(F.try_element_at(meaningful, F.lit(1)), F.lit("")), 1, 100)
+    first = F.coalesce(F.try_element_at(meaningful, F.lit(1)), F.lit(""))
     reason = (F.when(F.col("success") & (F.col("findings") == 0) & (F.col("elapsed") < 2),
                      F.lit("no-op"))
               .when(~F.col("success"), F.lit("errored")))

@@ -2,113 +2,96 @@
 
 Plan shape (all narrow until the dedup aggregate):
 
-1. one projection over the corpus: for every rule a literal ``regexp_extract_all``,
-   gated by a cheap ``contains`` on the lower-cased text (literal anchors), collected into
-   ``array<struct<rule_ord, m>>`` and exploded to (doc, rule) rows that have hits;
-2. a second projection, only on (doc, rule) rows with hits, splits the text with the same
-   literal pattern: the gap lengths give exact match offsets (same as ``finditer``);
-3. noise filter on the raw match, clean-up to the match key, masking, context window;
-   the text column is dropped here, so the shuffle carries only small finding rows;
-4. dedup by the match key with a hash aggregate (``min`` of a struct ordered by
-   url, rule, offset): partial aggregation runs map-side, so a hot key (a placeholder
-   token in a third of all documents) sends one row per map task, not all its rows.
+1. one Arrow-batched pass over the corpus: for every rule whose literal anchors occur in the
+   lower-cased text, one ``finditer`` -- linear in the text and its matches. Each match leaves
+   with its offset and its context; the text itself goes no further. In the context every
+   character that any match of any rule covers is already replaced by ``*``, so a context
+   never shows the match or a neighbouring one;
+2. noise filter on the raw match, clean-up to the match key, masking -- built-in functions;
+3. dedup by the digest of the whole key (``min`` of a struct ordered by url, rule, offset):
+   partial aggregation runs map-side, so a hot key (a placeholder token in a third of all
+   documents) sends one row per map task, not all its rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit import rules
-from surfacekit.functions.text import context_window, mask_secret
-from surfacekit.operators.partitioning import spread
+from surfacekit.functions.text import mask_secret, tidy_context
 
 Rules = Sequence[rules.SecretRule]
 
-
-def _gate(low: Column, rule: rules.SecretRule) -> Column:
-    if not rule.anchors:
-        return F.lit(True)
-    cond = None
-    for a in rule.anchors:
-        c = low.contains(a)
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
-_CONTEXT = re.compile(r"\(\?<?[=!]|\\b|(?<!\[)\^|\$")
-
-
-def context_free(java_pattern: str) -> bool:
-    """True when whether a string matches depends only on the characters it consumes."""
-    return _CONTEXT.search(java_pattern) is None
+MATCHES = ("url string, rule_ord int, tier int, type string, noise_exempt boolean, idx int, offset int, "
+           "raw string, window string")
+
+
+def _windows(text: str, spans: list[tuple[int, int]], pad: int) -> Iterator[str]:
+    """For each span (sorted by start), the text ``pad`` characters around it with every
+    covered character as ``*``. Covered ranges are merged once, so this is linear."""
+    merged: list[list[int]] = []
+    for a, b in spans:
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    first = 0
+    for a, b in spans:
+        lo, hi = max(0, a - pad), min(len(text), b + pad)
+        while merged[first][1] <= lo:
+            first += 1
+        out, at, k = [], lo, first
+        while k < len(merged) and merged[k][0] < hi:
+            x, y = max(lo, merged[k][0]), min(hi, merged[k][1])
+            out += [text[at:x], "*" * (y - x)]
+            at, k = y, k + 1
+        yield "".join(out) + text[at:hi]
+
+
+def _scanner(rule_set: Rules, pad: int):
+    plain = [(r.ord, r.tier, r.name, r.noise_exempt, r.anchors, r.pattern, r.keep) for r in rule_set]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = [(*r[:5], re.compile(r[5], re.A), re.compile(r[6], re.A) if r[6] else None) for r in plain]
+        for batch in batches:
+            rows: list[tuple] = []
+            for url, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not text:
+                    continue
+                low, found = text.lower(), []
+                for ord_, tier, name, exempt, anchors, pattern, keep in ready:
+                    if anchors and not any(x in low for x in anchors):
+                        continue
+                    hits = [m for m in pattern.finditer(text) if m[0] and (keep is None or keep.search(m[0]))]
+                    found += [(m.start(), m.end(), ord_, tier, name, exempt, i, m[0]) for i, m in enumerate(hits)]
+                found.sort(key=lambda x: x[:3])
+                for x, window in zip(found, _windows(text, [x[:2] for x in found], pad)):
+                    rows.append((url, *x[2:7], x[0], x[7], window))
+                if len(rows) > 10_000:
+                    yield _batch(rows)
+                    rows = []
+            yield _batch(rows)
+
+    return run
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string())
+    names = [x.split()[0] for x in MATCHES.split(", ")]
+    cols = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
 
 def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
                  id_col: str = "url", text_col: str = "content") -> DataFrame:
-    """EXT1 + EXT3: every match of every rule in every document, with its offset.
-
-    Output: (url, rule_ord, tier, type, noise_exempt, idx, offset, raw, content)."""
-    corpus = spread(corpus)
-    text = F.col(text_col)
-    low = F.lower(text)
-    hits = F.array(*[
-        F.when(_gate(low, r), F.struct(F.lit(r.ord).alias("rule_ord"),
-                                       F.regexp_extract_all(text, F.lit(r.spark_pattern), 0)
-                                       .alias("m")))
-        for r in rule_set])
-    hits = F.filter(hits, lambda h: h.isNotNull() & (F.size(h["m"]) > 0))
-    per_rule = (corpus.select(F.col(id_col).alias("url"), text.alias("content"),
-                              F.explode(hits).alias("h"))
-                .select("url", "content", F.col("h.rule_ord").alias("rule_ord"),
-                        F.col("h.m").alias("m")))
-
-    # gaps between consecutive matches, with the same literal pattern per rule.
-    # Shortcut (exact): a single match of a context-free rule (no look-around, boundary
-    # or anchor) starts at the first occurrence of its text -- an earlier occurrence would
-    # have matched there too -- so position() replaces the second regex pass.
-    cf = [r.ord for r in rule_set if context_free(r.spark_pattern)]
-    single = F.size(F.col("m")) == 1
-    single_cf = single & F.col("rule_ord").isin(cf)
-    gaps = None
-    for r in rule_set:
-        g = F.split(F.col("content"), r.spark_pattern, -1)
-        gaps = F.when(F.col("rule_ord") == r.ord, g) if gaps is None else gaps.when(
-            F.col("rule_ord") == r.ord, g)
-    # one match (the usual case): its offset is the first gap's length -- no lambdas
-    lg = (F.when(single_cf, F.array(F.position(F.element_at("m", 1), F.col("content")) - 1))
-          .when(single, F.array(F.length(F.element_at(gaps, 1))))
-          .otherwise(F.transform(gaps, lambda x: F.length(x))))
-    lm = F.transform(F.col("m"), lambda x: F.length(x))
-    several = F.transform(
-        F.col("m"),
-        lambda _x, i: F.aggregate(F.slice(F.col("lg"), 1, i + 1), F.lit(0), lambda a, b: a + b)
-        + F.aggregate(F.slice(F.col("lm"), 1, i), F.lit(0), lambda a, b: a + b))
-    offsets = F.when(single, F.col("lg")).otherwise(several)
-    meta = F.create_map(*[x for r in rule_set for x in (F.lit(r.ord), F.struct(
-        F.lit(r.tier).alias("tier"), F.lit(r.name).alias("type"),
-        F.lit(r.noise_exempt).alias("noise_exempt")))])
-    with_off = (per_rule.select("url", "content", "rule_ord", "m", lg.alias("lg"), lm.alias("lm"))
-                .select("url", "content", "rule_ord",
-                        F.posexplode(F.arrays_zip(F.col("m").alias("raw"),
-                                                  offsets.alias("offset"))).alias("idx", "z")))
-    out = with_off.select("url", "content", "rule_ord", "idx",
-                          F.col("z.raw").alias("raw"), F.col("z.offset").alias("offset"),
-                          meta[F.col("rule_ord")].alias("meta"))
-    # anchored post-filter (Internal_IP: maximal digit/dot runs that are private addresses)
-    keep_ok = F.lit(True)
-    for r in rule_set:
-        if r.spark_keep:
-            keep_ok = F.when(F.col("rule_ord") == r.ord,
-                             F.col("raw").rlike(r.spark_keep)).otherwise(keep_ok)
-    return (out.where(keep_ok)
-            .select("url", "rule_ord", F.col("meta.tier").alias("tier"),
-                    F.col("meta.type").alias("type"),
-                    F.col("meta.noise_exempt").alias("noise_exempt"),
-                    "idx", "offset", "raw", "content"))
+    """EXT1 + EXT3: every match of every rule in every document, with its offset and its
+    redacted surroundings: (url, rule_ord, tier, type, noise_exempt, idx, offset, raw, window)."""
+    return corpus.select(F.col(id_col), F.col(text_col)).mapInArrow(_scanner(rule_set, rules.CONTEXT_PAD), MATCHES)
 
 
 def noise_expr(raw: Column, exempt: Column) -> Column:
@@ -129,21 +112,19 @@ def keyed(matches: DataFrame) -> DataFrame:
             .where(F.length("clean") >= rules.MATCH_KEY_MIN))
 
 
-def findings(matches: DataFrame) -> DataFrame:
-    """PRJ10 + PRJ11 + PRJ15 on noise-free matches: key hash, masked match, context with
-    the match masked. The text column is dropped here (before any shuffle)."""
-    ctx = context_window(F.col("content"), F.col("offset"), F.length(F.col("raw")),
-                         mask_raw=F.col("raw"))
+def findings(matches: DataFrame, key: str = rules.DIGEST_KEY) -> DataFrame:
+    """PRJ10 + PRJ11 + PRJ15 on noise-free matches: keyed digest of the whole cleaned match,
+    masked match, context. Give a ``key`` of your own: short secrets can be guessed from
+    digests whose key is known."""
     return keyed(matches).select(
         "url", "rule_ord", "tier", "type", "offset", "idx",
-        F.substring(F.md5(F.col("clean")), 1, 12).alias("match_key"),
-        mask_secret(F.substring(F.col("clean"), 1, rules.MATCH_MAX)).alias("match"),
-        ctx.alias("context"))
+        F.sha2(F.concat(F.lit(key), F.col("clean")), 256).alias("match_key"),
+        mask_secret(F.col("clean"), key).alias("match"), tidy_context("window").alias("context"))
 
 
 def dedup_secrets(f: DataFrame) -> DataFrame:
     """EXT4: one finding per match key, global and deterministic: first url, then first
-    rule, then first offset. Hash aggregate with map-side partial aggregation."""
+    rule, then first offset; partial aggregation before the shuffle."""
     best = F.min(F.struct("url", "rule_ord", "offset", "tier", "type", "match", "context"))
     return (f.groupBy("match_key").agg(best.alias("b"))
             .select(F.col("b.tier").alias("tier"), F.col("b.type").alias("type"),
@@ -193,15 +174,11 @@ def second_scanner_lines(corpus: DataFrame, id_col: str = "url",
         F.regexp_extract_all(F.col(text_col), F.lit(SECOND_SCANNER), 0)).alias("raw"))
 
 
-def merge_second_scanner(existing: DataFrame, extra: DataFrame, prefix: int = 40) -> DataFrame:
-    """JN3: keep lines of ``extra`` whose first ``prefix`` cleaned characters are not the
-    prefix of an existing finding, one per prefix (anti join on the prefix + dedup)."""
+def merge_second_scanner(existing: DataFrame, extra: DataFrame, key: str = rules.DIGEST_KEY) -> DataFrame:
+    """JN3: keep lines of ``extra`` whose cleaned value is not that of an existing finding,
+    one per value (anti join on the whole value + dedup)."""
     clean = F.regexp_replace(F.col("raw"), rules.MATCH_KEY_STRIP, "")
-    e = extra.select("url", clean.alias("clean")).where(F.length("clean") > 2).select(
-        "url", "clean", F.substring("clean", 1, prefix).alias("prefix"))
-    seen = existing.select(F.substring(F.col("clean"), 1, prefix).alias("prefix")).distinct()
-    fresh = e.join(seen, "prefix", "left_anti")
-    best = F.min(F.struct("url", "clean"))
-    return (fresh.groupBy("prefix").agg(best.alias("b"))
-            .select(F.col("b.url").alias("url"), mask_secret(F.col("b.clean")).alias("match"),
-                    F.substring(F.md5(F.col("prefix")), 1, 12).alias("prefix_key")))
+    e = extra.select("url", clean.alias("clean")).where(F.length("clean") > 2)
+    fresh = e.join(existing.select("clean").distinct(), "clean", "left_anti")
+    return fresh.groupBy("clean").agg(F.min("url").alias("url")).select(
+        "url", mask_secret("clean", key).alias("match"), F.sha2(F.concat(F.lit(key), F.col("clean")), 256).alias("match_key"))

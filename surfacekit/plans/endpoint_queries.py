@@ -20,8 +20,8 @@ from surfacekit.sources import tables as T
 
 def _eps_sql() -> str:
     parts = "\n    UNION ALL ".join(
-        f"SELECT unnest(regexp_extract_all(content, {S.lit(p)}, {g})) AS ep FROM js_corpus"
-        for p, g in zip(rules.ENDPOINT_PATTERNS, rules.ENDPOINT_GROUPS))
+        f"SELECT unnest(regexp_extract_all(content, {S.lit(p)}, 1)) AS ep FROM js_corpus"
+        for p in rules.ENDPOINT_PATTERNS)
     return f"""
 eps_raw AS (
     {parts}
@@ -29,7 +29,7 @@ eps_raw AS (
 endpoints AS (
   SELECT DISTINCT endpoint FROM (
     SELECT regexp_replace(ep, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS endpoint FROM eps_raw)
-  WHERE length(endpoint) BETWEEN 3 AND 250
+  WHERE length(endpoint) >= 3
     AND NOT regexp_matches(endpoint, {S.ci(rules.ENDPOINT_STATIC)})
 )"""
 
@@ -125,7 +125,7 @@ def _all_js(spark, d):
 SELECT map_url, pos, source, rank FROM (
   SELECT map_url, pos, source, row_number() OVER (PARTITION BY map_url ORDER BY pos) AS rank FROM (
     SELECT map_url, unnest(range(len(sources))) AS pos, unnest(sources) AS source FROM source_maps)
-  WHERE regexp_matches(source, {S.lit(EP.INTERESTING_SOURCE)})) WHERE rank <= 6""")
+  WHERE regexp_matches(source, {S.lit(EP.INTERESTING_SOURCE)}))""")
 def q_arr4(spark, d):
     return EP.explode_source_map(O.source_maps(spark, d)).select("map_url", "pos", "source", "rank")
 

@@ -97,7 +97,7 @@ def _cand_hosts(spark, d):
 
 
 @register("flt1_valid_hostnames", S.with_(SI.NETWORK, SI.CT, _CT_NAMES, _CANDS) + f"""
-SELECT host FROM cand_hosts WHERE regexp_matches(host, {S.lit(FL.HOSTNAME)})""")
+SELECT host FROM cand_hosts WHERE regexp_matches(host, {S.lit('^' + FL.LABEL + '(\\.' + FL.LABEL + ')*$')})""")
 def q_flt1(spark, d):
     return FL.valid_hostnames(_cand_hosts(spark, d))
 
@@ -176,7 +176,7 @@ def q_prj8(spark, d):
 
 
 @register("prj9_extract_ipv4", f"""
-SELECT DISTINCT ip FROM (SELECT unnest(regexp_extract_all(text, {S.lit(TX.IPV4_RUN)})) AS ip FROM documents)
+SELECT DISTINCT ip FROM (SELECT unnest(regexp_extract_all(text, '[0-9]+(\\.[0-9]+)*')) AS ip FROM documents)
 WHERE regexp_matches(ip, {S.lit(TX.IPV4_ANCHORED)})""")
 def q_prj9(spark, d):
     return (T.load(spark, d, "documents").select(F.explode(TX.extract_ipv4("text")).alias("ip"))
@@ -185,11 +185,11 @@ def q_prj9(spark, d):
 
 @register("flt16_is_ipv4", f"""
 SELECT DISTINCT c AS candidate, regexp_matches(c, {S.lit(TX.IPV4_ANCHORED)}) AS is_ipv4 FROM (
-  SELECT unnest(regexp_extract_all(text, {S.lit(TX.IPV4_RUN)})) AS c FROM documents)
+  SELECT unnest(regexp_extract_all(text, '[0-9]+(\\.[0-9]+)*')) AS c FROM documents)
 WHERE length(c) - length(replace(c, '.', '')) = 3""")
 def q_flt16(spark, d):
     c = T.load(spark, d, "documents").select(
-        F.explode(F.regexp_extract_all("text", F.lit(TX.IPV4_RUN), 0)).alias("candidate"))
+        F.explode(TX.dotted_groups("text")).alias("candidate"))
     c = c.where(F.length("candidate") - F.length(F.replace("candidate", F.lit("."), F.lit(""))) == 3)
     return c.select("candidate", TX.is_ipv4("candidate").alias("is_ipv4")).distinct()
 

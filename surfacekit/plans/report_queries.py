@@ -117,8 +117,8 @@ def q_agg2(spark, d):
 SELECT phase, elapsed, reason, first_error FROM (
   SELECT phase, elapsed,
     CASE WHEN success AND findings = 0 AND elapsed < 2 THEN 'no-op' WHEN NOT success THEN 'errored' END AS reason,
-    CASE WHEN NOT success THEN substr(coalesce(list_filter(string_split(coalesce(error, ''), chr(10)),
-      lambda l: trim(l) <> '' AND NOT contains(l, '[WRN]') AND NOT contains(l, '[INF]'))[1], ''), 1, 100) END AS first_error
+    CASE WHEN NOT success THEN coalesce(list_filter(string_split(coalesce(error, ''), chr(10)),
+      lambda l: trim(l) <> '' AND NOT contains(l, '[WRN]') AND NOT contains(l, '[INF]'))[1], '') END AS first_error
   FROM phase_results) WHERE reason IS NOT NULL""")
 def q_agg3(spark, d):
     return RP.phase_anomalies(FD.phase_results(spark, d))

@@ -52,7 +52,11 @@ js_corpus AS (
 doc_corpus AS (
   SELECT 'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS url, text AS content FROM documents
 ),
-corpus AS (SELECT url, content FROM js_corpus UNION ALL SELECT url, content FROM doc_corpus)"""
+turn_corpus AS (
+  SELECT 'conv://' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS url, text AS content FROM conversations
+),
+corpus AS (SELECT url, content FROM js_corpus UNION ALL SELECT url, content FROM doc_corpus
+           UNION ALL SELECT url, content FROM turn_corpus)"""
 
 
 def rule_meta_cte() -> str:
@@ -94,17 +98,26 @@ clean_matches AS (
              OR (NOT noise_exempt AND regexp_matches(raw, {S.lit('(?i)' + rules.NOISE_HEX)})))
 ),
 keyed AS (SELECT * FROM clean_matches WHERE length(clean) >= {rules.MATCH_KEY_MIN}),
+spans AS (
+  SELECT k.url, k.rule_ord, k."offset" AS o, k.idx, any_value(k.content) AS content, any_value(k.raw) AS raw,
+    list({{'s': m."offset", 'e': m."offset" + length(m.raw)}}) AS covered
+  FROM keyed k JOIN matches m ON m.url = k.url AND m."offset" < k."offset" + length(k.raw) + 60
+    AND m."offset" + length(m.raw) > k."offset" - 60
+  GROUP BY k.url, k.rule_ord, k."offset", k.idx
+),
+windows AS (
+  SELECT url, rule_ord, o, idx, array_to_string(list_transform(
+    range(greatest(0, o - 60), least(length(content), o + length(raw) + 60)),
+    lambda p: CASE WHEN len(list_filter(covered, lambda c: c.s <= p AND p < c.e)) > 0 THEN '*' ELSE substr(content, p + 1, 1) END), '') AS win
+  FROM spans
+),
 secret_rows AS (
-  SELECT url, rule_ord, tier, type, "offset", idx,
-    substr(md5(clean), 1, 12) AS match_key,
-    {mask('substr(clean, 1, 120)')} AS match,
+  SELECT url, rule_ord, tier, type, "offset", idx, {digest('clean')} AS match_key, {mask('clean')} AS match,
     CASE WHEN length(ctx) > 200 THEN substr(ctx, 1, 100) || '...' || right(ctx, 60) ELSE ctx END AS context
   FROM (
-    SELECT *, regexp_replace(replace(regexp_replace(replace(substr(content, w_start + 1, w_end - w_start), raw, {mask('raw')}),
-                                     {S.lit(TOKEN_RUN)}, '\\1***', 'g'),
-                                     chr(10), ' '), '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS ctx
-    FROM (SELECT *, greatest(0, "offset" - 60) AS w_start,
-                 least(length(content), "offset" + length(raw) + 60) AS w_end FROM keyed)
+    SELECT k.*, regexp_replace(replace(regexp_replace(w.win, {S.lit(TOKEN_RUN)}, '\\1***', 'g'), chr(10), ' '),
+                               '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS ctx
+    FROM keyed k JOIN windows w ON w.url = k.url AND w.rule_ord = k.rule_ord AND w.o = k."offset" AND w.idx = k.idx
   )
 ),
 dedup AS (
@@ -114,8 +127,12 @@ dedup AS (
 )"""
 
 
+def digest(expr: str) -> str:
+    return f"sha256({S.lit(rules.DIGEST_KEY)} || {expr})"
+
+
 def mask(expr: str) -> str:
-    return f"(substr({expr}, 1, 4) || '***' || substr(md5({expr}), 1, 8))"
+    return f"(substr({expr}, 1, 4) || '***' || substr({digest(expr)}, 1, 8))"
 
 
 _W = S.with_(hits_cte())
@@ -141,17 +158,17 @@ def q_ext2(spark, d):
 SELECT url, rule_ord, idx, "offset", substr(content, "offset" + 1, length(raw)) = raw AS sliced_ok
 FROM matches""")
 def q_ext3(spark, d):
-    m = _scan(spark, d)
+    m = _scan(spark, d).join(T.secret_corpus(spark, d), "url")
     return m.select("url", "rule_ord", "idx", "offset",
                     (F.substring("content", F.col("offset") + 1, F.length("raw")) == F.col("raw"))
                     .alias("sliced_ok"))
 
 
 @register("prj10_match_key", _W + """
-SELECT url, rule_ord, idx, substr(md5(clean), 1, 12) AS match_key, length(clean) AS key_len FROM keyed""")
+SELECT url, rule_ord, idx, sha256(clean) AS match_key, length(clean) AS key_len FROM keyed""")
 def q_prj10(spark, d):
     return SE.keyed(_scan(spark, d)).select(
-        "url", "rule_ord", "idx", F.substring(F.md5("clean"), 1, 12).alias("match_key"),
+        "url", "rule_ord", "idx", F.sha2("clean", 256).alias("match_key"),
         F.length("clean").alias("key_len"))
 
 
@@ -180,12 +197,8 @@ extra AS (
   SELECT url, regexp_replace(unnest(regexp_extract_all(content, {S.lit(SE.SECOND_SCANNER)})),
                              {S.lit(rules.MATCH_KEY_STRIP)}, '', 'g') AS clean FROM corpus
 ),
-fresh AS (
-  SELECT url, clean, substr(clean, 1, 40) AS prefix FROM extra
-  WHERE length(clean) > 2 AND substr(clean, 1, 40) NOT IN (SELECT substr(clean, 1, 40) FROM keyed)
-)
-SELECT url, {mask('clean')} AS match, substr(md5(prefix), 1, 12) AS prefix_key FROM (
-  SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY url, clean) AS rn FROM fresh) WHERE rn = 1""")
+fresh AS (SELECT url, clean FROM extra WHERE length(clean) > 2 AND clean NOT IN (SELECT clean FROM keyed))
+SELECT min(url) AS url, {mask('clean')} AS match, {digest('clean')} AS match_key FROM fresh GROUP BY clean""")
 def q_jn3(spark, d):
     corpus = T.secret_corpus(spark, d)
     existing = SE.keyed(SE.scan_secrets(corpus))

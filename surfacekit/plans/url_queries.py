@@ -140,7 +140,7 @@ SELECT host, directive, value FROM (
 WHERE directive <> ''
 UNION ALL
 SELECT host, 'loc', unnest(regexp_extract_all(line, {S.lit(LK.SITEMAP_LOC)}, 1)) FROM doc_lines
-WHERE kind = 'sitemap' AND pos < {LK.SITEMAP_LINES}""")
+WHERE kind = 'sitemap'""")
 def q_ext10(spark, d):
     return LK.robots_paths(T.robots_docs(spark, d))
 

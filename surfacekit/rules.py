@@ -276,19 +276,17 @@ NOISE_OTHER = (r"localhost|127\.0\.0\.|example\.com|test\.com|XXXXXXXX|xxxxxxxx|
 # quotes, whitespace, "=", ":" and ";".
 MATCH_KEY_STRIP = r"[ \t\n\r\f'\"=:;]"
 MATCH_KEY_MIN = 8
-MATCH_MAX = 120
 CONTEXT_PAD = 60
+DIGEST_KEY = "surfacekit:"  # default key of the digests of secrets; callers should give their own
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES: endpoint call-site shapes (group 1 is the endpoint).
 ENDPOINT_PATTERNS = (
-    r"""["'`](/(api|v\d|rest|rpc|graphql|auth|oauth|admin|user|data|file|upload|payment|webhook)[^"'`\s<>]{0,200})["'`]""",
-    r"""(fetch|axios\.(get|post|put|delete|patch)|http\.(get|post))\s*\(\s*["'`]([^"'`\s<>]{5,200})["'`]""",
-    r"""(url|endpoint|path|route|href)\s*[:=]\s*["'`](/[^"'`\s<>]{4,200})["'`]""",
-    r"""XMLHttpRequest[^;]*?open\s*\(\s*["'][A-Z]+["']\s*,\s*["']([^"']{5,200})["']""",
+    r"""["'`](/(?:api|v\d|rest|rpc|graphql|auth|oauth|admin|user|data|file|upload|payment|webhook)[^"'`\s<>]*)["'`]""",
+    r"""(?:fetch|axios\.(?:get|post|put|delete|patch)|http\.(?:get|post))\s*\(\s*["'`]([^"'`\s<>]{5,})["'`]""",
+    r"""(?:url|endpoint|path|route|href)\s*[:=]\s*["'`](/[^"'`\s<>]{4,})["'`]""",
+    r"""XMLHttpRequest[^;]*?open\s*\(\s*["'][A-Z]+["']\s*,\s*["']([^"']{5,})["']""",
 )
-# capture group index holding the endpoint in each pattern above
-ENDPOINT_GROUPS = (1, 4, 2, 1)
 ENDPOINT_STATIC = r"\.(png|jpg|jpeg|gif|css|woff|svg|ico|map)(\?|$)"
 
 # FIXED VALUES: endpoint clusters, first match wins in this order, else "other".

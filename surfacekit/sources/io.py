@@ -9,23 +9,29 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_lines(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
     """SRC1: non-blank lines, BOM stripped, trimmed; ``source`` = given name or file name.
     Undecodable bytes are replaced by the text reader, never fatal."""
     df = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_file"))
-    line = F.trim(F.regexp_replace("value", "^﻿", ""))
+    line = F.regexp_replace(F.regexp_replace("value", "^﻿", ""), r"^\s+|\s+$", "")
     src = F.lit(source) if source else F.col("_file")
     return df.select(line.alias("line"), src.alias("source")).where(F.col("line") != "")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """SRC2: JSON Lines with an explicit schema; malformed lines are dropped silently."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """SRC2: JSON Lines with an explicit schema; blank and malformed lines are dropped, the
+    same lines whichever columns are used."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    whole = StructType([*kind.fields, StructField("_malformed", StringType())])
+    row = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    lines = spark.read.text(path).where(F.trim("value") != "").select(row.alias("r"))
+    return lines.where("r is not null and r._malformed is null").select(*[F.col("r")[f.name].alias(f.name) for f in kind.fields])
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -73,8 +79,10 @@ def append_new(spark: SparkSession, incoming: DataFrame, key: str, sink: str) ->
     from surfacekit.operators.inventory import append_candidates
     try:
         existing = spark.read.parquet(sink)
-    except Exception:  # noqa: BLE001 - a missing sink is an empty sink
-        existing = None
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        existing = None  # no folder, or one without files: an empty sink
     new = incoming.dropDuplicates([key]) if existing is None else append_candidates(existing, incoming, key)
     if existing is not None:
         # the result depends on the folder we append to: cut the lineage first (reliable
@@ -82,10 +90,9 @@ def append_new(spark: SparkSession, incoming: DataFrame, key: str, sink: str) ->
         from surfacekit.session import checkpoint_dir
         checkpoint_dir(spark)
         new = new.checkpoint(eager=True)
-    n = new.count()
-    if n:
-        new.write.mode("append").parquet(sink)
-    return n
+    seen = Observation()
+    new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(sink)
+    return seen.get["n"]
 
 
 def write_by_class(df: DataFrame, path: str, class_col: str = "vuln_class", mode: str = "append") -> None:

@@ -23,8 +23,16 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+# Tables of long texts: read from few row groups they arrive in few partitions. A caller that
+# wants more sets this (the bench does); unset, the read side decides.
+TEXT_PARTITIONS = "surfacekit.text.partitions"
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = spark.conf.get(TEXT_PARTITIONS, None) if name in TEXT_TABLES else None
+    return df.repartition(int(n)) if n else df
 
 
 # ---------------------------------------------------------------------------------------
@@ -193,9 +201,16 @@ def document_corpus(spark, d) -> DataFrame:
         F.col("text").alias("content"))
 
 
+def turn_corpus(spark, d) -> DataFrame:
+    """(url, content) for ``conversations``: url = conv://<conv_id>/<turn>."""
+    return load(spark, d, "conversations").select(
+        F.concat(F.lit("conv://"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("url"),
+        F.col("text").alias("content"))
+
+
 def secret_corpus(spark, d) -> DataFrame:
-    """Scripts derived from pages plus the documents table: the leak-scan corpus."""
-    return js_corpus(spark, d).unionByName(document_corpus(spark, d))
+    """Scripts derived from pages, the documents and the conversation turns: the leak-scan corpus."""
+    return js_corpus(spark, d).unionByName(document_corpus(spark, d)).unionByName(turn_corpus(spark, d))
 
 
 def robots_docs(spark, d) -> DataFrame:

@@ -93,12 +93,13 @@ def test_class_counts_sum_to_total(spark):
     assert sum(rows.values()) == total
 
 
-def test_ip_to_network_bucketed_equals_broadcast(spark):
-    from surfacekit.sources import infra as I
-    ips = I.host_facts(spark, SF_SMALL)
-    a = {tuple(r) for r in INV.ip_to_network(ips, I.asn_ranges(spark)).collect()}
-    b = {tuple(r) for r in INV.ip_to_network(ips, I.asn_ranges(spark), broadcast_max=0).collect()}
-    assert a == b and a
+def test_ip_to_network_nested_ranges(spark):
+    ranges = spark.createDataFrame([("0.0.0.0/0", "d"), ("10.0.0.0/8", "a"), ("10.1.0.0/16", "b"), ("10.1.2.3/32", "c"), ("10.1.2.128/25", "e")],
+                                   "cidr string, asn string")
+    ips = spark.createDataFrame([(x,) for x in ("10.1.2.3", "10.1.2.3", "10.1.2.4", "10.1.2.200", "10.9.9.9", "255.255.255.255", "0.0.0.0", "x", None)], "ip string")
+    got = {r["ip"]: (r["asn"], r["prefix"]) for r in INV.ip_to_network(ips, ranges).collect()}
+    assert got == {"10.1.2.3": ("c", 32), "10.1.2.4": ("b", 16), "10.1.2.200": ("e", 25), "10.9.9.9": ("a", 8),
+                   "255.255.255.255": ("d", 0), "0.0.0.0": ("d", 0)}
 
 
 def test_stream_restart_adds_nothing(spark):
