@@ -133,11 +133,13 @@ def _shard(window: int, gram: int):
         pieces = np.concatenate((np.arange(len(texts)), twice))
         sizes = (ends - starts)[pieces] + 1
         line = np.zeros(int(sizes.sum()), dtype=np.int64)  # the parts, each followed by a separator
-        goes = np.repeat(np.cumsum(sizes) - sizes - starts[pieces], sizes - 1)
-        comes = np.concatenate([np.arange(starts[p], ends[p]) for p in pieces])
-        line[comes + goes] = symbols[comes]
-        index = FMIndex(line, 2 * window)
-        part, first, last = repeated_spans(index, symbols, starts, ends, window)
+        goes = np.cumsum(sizes) - sizes
+        within = np.arange(len(line)) - np.repeat(goes, sizes)
+        real = within < np.repeat(sizes - 1, sizes)
+        line[real] = symbols[(np.repeat(starts[pieces], sizes) + within)[real]]
+        starts = goes[: len(texts)]
+        ends = starts + sizes[: len(texts)] - 1
+        part, first, last = repeated_spans(FMIndex(line, 2 * window, 1 << (window // 2).bit_length() - 1), line, starts, ends, window)
         return pa.table({"home": homes[part], "part": parts[part],
                          "lo": (first - starts[part]).astype(np.int32), "hi": (last - starts[part] + 1).astype(np.int32)})
 
@@ -147,8 +149,8 @@ def _shard(window: int, gram: int):
 def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_words: int) -> DataFrame:
     """(row, spans): the repeated word intervals of each text that has any."""
     table = segment_table(docs, window, gram)
-    anchors = table.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    held = stored(table.join(anchors.select("anchor"), "anchor").groupBy("row", "anchor", "seg", "off", "windows")
+    anchors = stored(table.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    held = stored(table.join(anchors, "anchor").groupBy("row", "anchor", "seg", "off", "windows")
                   .agg(F.count("*").alias("copies")))
     segs = held.groupBy("anchor", "seg").agg(F.sum("copies").alias("copies"), F.first("row").alias("row"),
                                              F.first("off").alias("off"), F.first("windows").alias("windows"))
