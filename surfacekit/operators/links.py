@@ -5,43 +5,65 @@ Narrow (map-only) operator: one projection per page, no shuffle. Whole pages are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit.functions.urls import url_authority, url_path, url_scheme
 
-# attribute values of href / src / action (double or single quoted)
-LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*["']([^"'<>]*)["']"""
+# values of href / src / action, quoted or not; the page's own base
+LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*("[^"<>]*"|'[^'<>]*'|[^ \t\n\f\r"'<>]+)"""
+BASE_HREF = r"""(?i)<base[^<>]*[ \t\n\f\r]href[ \t\n\f\r]*=[ \t\n\f\r]*["']?([^"'<> \t\n\f\r]+)"""
 SKIP_LINK = r"(?i)^(#|javascript:|mailto:|data:|tel:)"
 
 
-def resolve_link(page_url, link):
-    """Resolve ``link`` against ``page_url``: absolute, scheme-relative, rooted, relative.
-    Fragments are dropped; skipped schemes give null."""
-    base_scheme = url_scheme(page_url)
-    base_auth = url_authority(page_url)
-    base_dir = F.regexp_extract(url_path(page_url), r"^(.*/)", 1)
+def without_dots(path: Column) -> Column:
+    """RFC 3986 5.2.4: "." segments go, ".." segments take the one before with them."""
+    segments = F.split(F.substring(path, 2, 2147483647), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: (
+        F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, s))))
+    last = F.element_at(segments, -1)
+    ending = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), ending)
+
+
+def resolve_link(page_url: Column, link: Column) -> Column:
+    """Resolve ``link`` against ``page_url`` (RFC 3986 5.2): absolute, scheme-relative, rooted,
+    query-only, relative, with dot segments. Fragments are dropped; skipped schemes give null."""
+    base_scheme, base_path = url_scheme(page_url), url_path(page_url)
+    root = F.concat(base_scheme, F.lit("://"), url_authority(page_url))
+    base_dir = F.regexp_extract(base_path, r"^(.*/)", 1)
     base_dir = F.when(base_dir == "", F.lit("/")).otherwise(base_dir)
+    bare = F.regexp_replace(link, "#.*$", "")
+    query = F.regexp_extract(bare, r"(\?.*)$", 1)
+    path = F.regexp_replace(bare, r"\?.*$", "")
+    joined = F.when(path.startswith("/"), path).otherwise(F.concat(base_dir, path))
     resolved = (
-        F.when(link.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(base_scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(base_scheme, F.lit("://"), base_auth, link))
-        .otherwise(F.concat(base_scheme, F.lit("://"), base_auth, base_dir, link)))
-    resolved = F.regexp_replace(resolved, "#.*$", "")
+        F.when(bare.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), bare)
+        .when(bare.startswith("//"), F.concat(base_scheme, F.lit(":"), bare))
+        .when(path == "", F.concat(root, F.when(base_path == "", F.lit("/")).otherwise(base_path), query))
+        .otherwise(F.concat(root, without_dots(joined), query)))
     return F.when((link != "") & ~link.rlike(SKIP_LINK) & (resolved != ""), resolved)
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, page_url, link, url) for every href/src/action of every page."""
+    """(page_id, page_url, link, url) for every href/src/action of every page. A page's
+    ``<base href>`` is the base of its links."""
+    own = F.col(url_col)
+    base = F.regexp_extract(F.col(html_col), BASE_HREF, 1)
     raw = pages.select(
-        "page_id", F.col(url_col).alias("page_url"),
+        "page_id", own.alias("page_url"), F.when(base != "", resolve_link(own, _decoded(base))).otherwise(own).alias("base"),
         F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK_ATTR), 2)).alias("raw"))
-    link = F.trim(F.col("raw"))
-    out = raw.select("page_id", "page_url", link.alias("link"),
-                     resolve_link(F.col("page_url"), link).alias("url"))
+    link = F.trim(_decoded(F.regexp_replace("raw", r"""^["']|["']$""", "")))
+    out = raw.select("page_id", "page_url", "base", link.alias("link"))
+    out = out.select("page_id", "page_url", "link", resolve_link(F.col("base"), F.col("link")).alias("url"))
     return out.where(F.col("url").isNotNull() & F.col("url").rlike(r"(?i)^https?://"))
 
 
+def _decoded(c: Column) -> Column:
+    """The character references that URLs need."""
+    return F.regexp_replace(F.regexp_replace(c, "(?i)&amp;|&#38;|&#x26;", "&"), "(?i)&quot;|&#34;", '"')
+
+
 # FIXED VALUES: robots / sitemap directives kept.
 ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
 SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"

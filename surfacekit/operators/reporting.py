@@ -139,26 +139,33 @@ def high_value_targets(lines: DataFrame, k: int = 20) -> DataFrame:
     return g.orderBy("target").limit(k)
 
 
-def assign_chunks(urls: DataFrame, size: int = 400, salt_buckets: int = 16,
+def assign_chunks(urls: DataFrame, size: int = 400, chunks_per_task: int = 64,
                   key: str = "host", col: str = "url") -> DataFrame:
-    """WIN6: contiguous chunks of at most ``size`` URLs per key. A key is split into
-    ``salt_buckets`` sub-groups by a hash of the URL first, so a host holding a third of
-    all URLs is numbered by many tasks, never by one global or one per-host window."""
-    salt = F.pmod(F.conv(F.substring(F.md5(F.col(col)), 1, 4), 16, 10).cast("int"), F.lit(salt_buckets))
-    u = urls.withColumn("salt", salt)
+    """WIN6: contiguous chunks of at most ``size`` URLs per key. A key of more than ``size`` x
+    ``chunks_per_task`` URLs is split into as many sub-groups as it needs, by a hash of the URL,
+    so one that holds a third of all URLs is numbered by many tasks; smaller keys stay whole."""
+    n = urls.groupBy(key).agg(F.ceil(F.count("*") / (size * chunks_per_task)).alias("parts"))
+    salt = F.pmod(F.conv(F.substring(F.md5(F.col(col)), 1, 7), 16, 10).cast("bigint"), F.col("parts")).cast("int")
+    u = urls.join(n, key).withColumn("salt", salt).drop("parts")
     w = Window.partitionBy(key, "salt").orderBy(col)
     return (u.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
             .withColumn("chunk_id", F.concat_ws("/", F.col(key), F.col("salt").cast("string"),
                                                 F.col("chunk").cast("string"))))
 
 
-def progress_eta(batches: DataFrame, total_col: str = "total_batches") -> DataFrame:
+def progress_eta(batches: DataFrame, total_col: str = "total_batches", block: int = 1000) -> DataFrame:
     """WIN7: per phase, running elapsed seconds and batches done in batch order; rate =
     elapsed / done; remaining = rate x batches left (exact integer arithmetic); formatted
-    durations. Partitioned by phase, never one global ordered window."""
-    w = Window.partitionBy("phase").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    b = (batches.withColumn("done", F.count("*").over(w))
-         .withColumn("elapsed_so_far", F.sum("elapsed").over(w).cast("bigint")))
+    durations. Running sums within blocks of batch ids plus the sums of the earlier blocks, so
+    a phase is spread over as many tasks as it has blocks."""
+    b = batches.withColumn("block", F.floor(F.col("batch_id") / block))
+    sums = b.groupBy("phase", "block").agg(F.count("*").alias("n"), F.sum("elapsed").alias("s"))
+    earlier = Window.partitionBy("phase").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("phase", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
+                       F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s0"))
+    w = Window.partitionBy("phase", "block").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    b = (b.join(base, ["phase", "block"]).withColumn("done", F.count("*").over(w) + F.col("n0"))
+         .withColumn("elapsed_so_far", (F.sum("elapsed").over(w) + F.col("s0")).cast("bigint")))
     remaining = F.expr(f"(elapsed_so_far * ({total_col} - done)) div done")
     return b.select("phase", "batch_id", "done", "elapsed_so_far",
                     remaining.alias("eta_seconds"), format_duration(remaining).alias("eta"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfacekit.functions.urls import url_host, url_scheme
+from surfacekit.functions.urls import url_authority, url_scheme
 
 
 def explode_tech(resp: DataFrame) -> DataFrame:
@@ -97,12 +97,12 @@ API_VERSION_PATHS = ("/v1", "/v2", "/v3", "/v4", "/api/v1", "/api/v2", "/api/v3"
 
 
 def expected_paths(live: DataFrame, resp: DataFrame, paths: Sequence[str] = API_DOC_PATHS) -> DataFrame:
-    """JN4 (re-aimed): every live base URL x each expected path -- generated with a
-    generator over a literal array, not a join -- then a left join to the recorded
-    responses: coverage (seen or not, and the status)."""
-    bases = live.select(F.concat(url_scheme("url"), F.lit("://"), url_host("url")).alias("base")).distinct()
+    """JN4 (re-aimed): every live base URL (scheme and authority, with its port) x each expected
+    path -- generated with a generator over a literal array, not a join -- then a left join to
+    the recorded responses, one per URL (the smallest status): coverage (seen or not, status)."""
+    bases = live.select(F.concat(url_scheme("url"), F.lit("://"), F.lower(url_authority("url"))).alias("base")).distinct()
     cand = bases.select("base", F.explode(F.array(*[F.lit(p) for p in paths])).alias("path"))
     cand = cand.withColumn("url", F.concat("base", "path"))
-    r = resp.select("url", "status")
+    r = resp.groupBy("url").agg(F.min("status").alias("status"))
     return (cand.join(r, "url", "left")
             .select("base", "path", "url", F.col("status").isNotNull().alias("seen"), "status"))

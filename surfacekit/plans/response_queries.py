@@ -94,23 +94,30 @@ def q_jn1(spark, d):
     return R.tech_hints(_resp(spark, d))
 
 
-def _paths_list() -> str:
-    return "[" + ", ".join(S.lit(p) for p in R.API_DOC_PATHS) + "]"
-
-
-@register("jn4_expected_paths", _R + f""",
+def _expected_sql(paths) -> str:
+    return _R + f""",
 bases AS (
-  SELECT DISTINCT {S.scheme('url')} || '://' || {S.host('url')} AS base FROM responses
+  SELECT DISTINCT {S.scheme('url')} || '://' || lower({S.authority('url')}) AS base FROM responses
   WHERE status IN (200, 201, 301, 302, 403)
 ),
-cand AS (SELECT base, unnest({_paths_list()}) AS path FROM bases)
+cand AS (SELECT base, unnest([{", ".join(S.lit(p) for p in paths)}]) AS path FROM bases),
+seen AS (SELECT url, min(status) AS status FROM responses GROUP BY url)
 SELECT c.base, c.path, c.base || c.path AS url, r.status IS NOT NULL AS seen, r.status
-FROM cand c LEFT JOIN responses r ON r.url = c.base || c.path""")
+FROM cand c LEFT JOIN seen r ON r.url = c.base || c.path"""
+
+
+@register("jn4_expected_paths", _expected_sql(R.API_DOC_PATHS))
 def q_jn4(spark, d):
     resp = _resp(spark, d)
     return R.expected_paths(FL.live_responses(resp), resp)
 
 
+@register("jn4_version_paths", _expected_sql(R.API_VERSION_PATHS))
+def q_jn4_versions(spark, d):
+    resp = _resp(spark, d)
+    return R.expected_paths(FL.live_responses(resp), resp, R.API_VERSION_PATHS)
+
+
 @register("prj12_display_response", _R + """
 SELECT url, url || ' (' || CAST(status AS VARCHAR) || ') — ' || coalesce(title, '') AS line
 FROM responses WHERE status IN (200, 201, 301, 302, 403)""")

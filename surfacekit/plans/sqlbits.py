@@ -45,25 +45,44 @@ def fragment(u: str) -> str:
     return f"regexp_extract({u}, '^[^#]*#(.*)$', 1)"
 
 
-LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*["']([^"'<>]*)["']"""
+WS = "[ \\t\\n\\f\\r]"
+LINK_ATTR = rf"""(?i)(href|src|action){WS}*={WS}*("[^"<>]*"|'[^'<>]*'|[^ \t\n\f\r"'<>]+)"""
+BASE_HREF = rf"""(?i)<base[^<>]*{WS}href{WS}*={WS}*["']?([^"'<> \t\n\f\r]+)"""
+
+
+def decoded(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '(?i)&amp;|&#38;|&#x26;', '&', 'g'), '(?i)&quot;|&#34;', '\"', 'g')"
+
+
+def resolved(base: str, link: str) -> str:
+    """RFC 3986 reference resolution; dot segments by folding the list of segments."""
+    bare = f"regexp_replace({link}, '#.*$', '')"
+    query = f"regexp_extract({bare}, '(\\?.*)$', 1)"
+    path_ = f"regexp_replace({bare}, '\\?.*$', '')"
+    root = f"{scheme(base)} || '://' || {authority(base)}"
+    joined = (f"CASE WHEN starts_with({path_}, '/') THEN {path_} "
+              f"ELSE coalesce(nullif(regexp_extract({path(base)}, '^(.*/)', 1), ''), '/') || {path_} END")
+    segs = f"string_split(substr({joined}, 2), '/')"
+    kept = (f"list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform({segs}, lambda s: [s])), lambda acc, x: "
+            f"CASE WHEN x[1] = '.' THEN acc WHEN x[1] = '..' THEN acc[1:len(acc) - 1] ELSE list_concat(acc, x) END)")
+    flat = f"'/' || array_to_string({kept}, '/') || CASE WHEN {segs}[-1] IN ('.', '..') AND len({kept}) > 0 THEN '/' ELSE '' END"
+    return f"""CASE WHEN {link} = '' OR regexp_matches({link}, '(?i)^(#|javascript:|mailto:|data:|tel:)') THEN NULL
+      WHEN regexp_matches({bare}, '(?i)^[a-z][a-z0-9+.-]*:') THEN {bare}
+      WHEN starts_with({bare}, '//') THEN {scheme(base)} || ':' || {bare}
+      WHEN {path_} = '' THEN {root} || CASE WHEN {path(base)} = '' THEN '/' ELSE {path(base)} END || {query}
+      ELSE {root} || {flat} || {query} END"""
+
 
 PAGE_LINKS = f"""
-links_raw AS (
-  SELECT page_id, url AS page_url, trim(unnest(regexp_extract_all(html, {lit(LINK_ATTR)}, 2))) AS link
-  FROM pages
+links_base AS (
+  SELECT page_id, url AS page_url, html, regexp_extract(html, {lit(BASE_HREF)}, 1) AS own_base FROM pages
 ),
-links_res AS (
-  SELECT page_id, page_url, link,
-    CASE WHEN link = '' OR regexp_matches(link, '(?i)^(#|javascript:|mailto:|data:|tel:)') THEN NULL
-    ELSE regexp_replace(
-      CASE WHEN regexp_matches(link, '(?i)^[a-z][a-z0-9+.-]*:') THEN link
-           WHEN starts_with(link, '//') THEN {scheme('page_url')} || ':' || link
-           WHEN starts_with(link, '/') THEN {scheme('page_url')} || '://' || {authority('page_url')} || link
-           ELSE {scheme('page_url')} || '://' || {authority('page_url')}
-                || coalesce(nullif(regexp_extract({path('page_url')}, '^(.*/)', 1), ''), '/') || link
-      END, '#.*$', '') END AS url
-  FROM links_raw
+links_raw AS (
+  SELECT page_id, page_url, CASE WHEN own_base <> '' THEN {resolved('page_url', decoded('own_base'))} ELSE page_url END AS base,
+    trim({decoded("regexp_replace(raw, '^[" + '"' + "'']|[" + '"' + "'']$', '', 'g')")}) AS link
+  FROM (SELECT *, unnest(regexp_extract_all(html, {lit(LINK_ATTR)}, 2)) AS raw FROM links_base)
 ),
+links_res AS (SELECT page_id, page_url, link, {resolved('base', 'link')} AS url FROM links_raw),
 page_links AS (
   SELECT page_id, page_url, link, url FROM links_res
   WHERE url IS NOT NULL AND url <> '' AND regexp_matches(url, '(?i)^https?://')

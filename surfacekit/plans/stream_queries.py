@@ -1,6 +1,6 @@
-"""Registered streaming queries (STR1-STR7): each stages its input as arriving files (or
-streams the driver file directly), runs the stream to completion with ``availableNow``,
-and returns the batch read of the sink. Oracles are the equivalent batch statements."""
+"""Registered streaming queries (STR1-STR7): each streams the files of the given tables, runs
+to completion with ``availableNow``, and returns the batch read of the sink. Oracles are the
+equivalent batch statements."""
 
 from __future__ import annotations
 
@@ -16,12 +16,10 @@ from surfacekit.sources import tables as T
 from surfacekit.streaming import findings_stream as ST
 
 
-def _staged_findings(spark, d):
+def _findings(spark, d):
     base = ST.work_dir(spark, "findings")
-    f = FD.findings(spark, d).select("event_id", "finding", "url", "vuln_class", "severity", "batch_id",
-                                     ST.event_time("ts").alias("event_ts"))
-    path = ST.stage_files(f, f"{base}/in", files=10, by="batch_id")
-    return base, ST.stream_findings(spark, path, f.schema)
+    f = FD.findings(spark, d, load=ST.stream_table)
+    return base, f.select("event_id", "finding", "url", "vuln_class", "severity", "batch_id", ST.event_time("ts").alias("event_ts"))
 
 
 _F = S.with_(S.seed_urls_cte(), SF.FINDINGS)
@@ -29,33 +27,34 @@ _F = S.with_(S.seed_urls_cte(), SF.FINDINGS)
 
 @register("str1_stream_findings", _F + "SELECT event_id, finding, vuln_class FROM findings")
 def q_str1(spark, d):
-    base, s = _staged_findings(spark, d)
+    base, s = _findings(spark, d)
     ST.run(ST.start_append(s.select("event_id", "finding", "vuln_class"), f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
 
 @register("str2_stream_dedup", _F + "SELECT DISTINCT finding FROM findings")
 def q_str2(spark, d):
-    base, s = _staged_findings(spark, d)
+    base, s = _findings(spark, d)
     ST.run(ST.start_append(ST.stream_dedup(s.select("finding")), f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
 
-@register("str3_stream_route")
+@register("str3_stream_route", _F + """
+SELECT finding, count(DISTINCT vuln_class) >= 1 AS routed_class_recorded FROM findings GROUP BY finding""")
 def q_str3(spark, d):
-    """Dedup + per-class folders in one sink; a repeated line goes to the class it first
-    arrived with (arrival order), so only row counts are checked."""
-    base, s = _staged_findings(spark, d)
-    q = ST.start_append(ST.stream_dedup(s.select("finding", "vuln_class")), f"{base}/out", f"{base}/ckpt",
-                        partition_by="vuln_class")
-    ST.run(q)
-    return spark.read.parquet(f"{base}/out").select("vuln_class", "finding")
+    """Dedup + per-class folders in one sink. A repeated line goes to the class it first arrived
+    with (arrival order): one row per line, checked to be one of its recorded classes."""
+    base, s = _findings(spark, d)
+    ST.run(ST.start_append(ST.stream_dedup(s.select("finding", "vuln_class")), f"{base}/out", f"{base}/ckpt", partition_by="vuln_class"))
+    routed = spark.read.parquet(f"{base}/out").select("finding", F.col("vuln_class").alias("routed"))
+    recorded = FD.findings(spark, d).groupBy("finding").agg(F.collect_set("vuln_class").alias("classes"))
+    return routed.join(recorded, "finding").select("finding", F.array_contains("classes", F.col("routed")).alias("routed_class_recorded"))
 
 
 @register("str4_stream_alerts", _F + """
 SELECT event_id, finding, severity AS alert_severity FROM findings WHERE severity IN ('medium', 'high', 'critical')""")
 def q_str4(spark, d):
-    base, s = _staged_findings(spark, d)
+    base, s = _findings(spark, d)
     a = ST.stream_alerts(s).select("event_id", "finding", "alert_severity")
     ST.run(ST.start_append(a, f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
@@ -63,17 +62,15 @@ def q_str4(spark, d):
 
 @register("str5_stream_totals", _F + "SELECT vuln_class, count(*) AS findings FROM findings GROUP BY vuln_class")
 def q_str5(spark, d):
-    base, s = _staged_findings(spark, d)
-    ST.run(ST.start_overwrite_table(ST.stream_totals(s), f"{base}/out", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/out")
+    base, s = _findings(spark, d)
+    ST.run(ST.start_batches(ST.stream_totals(s), f"{base}/out", f"{base}/ckpt"))
+    return ST.latest_rows(spark, f"{base}/out", ["vuln_class"])
 
 
 @register("str6_stream_js_corpus", S.with_(hits_cte()) + "SELECT * FROM dedup")
 def q_str6(spark, d):
     base = ST.work_dir(spark, "corpus")
-    corpus = T.secret_corpus(spark, d)
-    path = ST.stage_files(corpus, f"{base}/in", files=10)
-    s = spark.readStream.schema(corpus.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    s = T.secret_corpus(spark, d, load=ST.stream_table)
     rows = SE.findings(SE.scan_secrets(s))
     ST.run(ST.start_append(rows, f"{base}/out", f"{base}/ckpt"))
     # consolidation: one global dedup over everything the stream produced
@@ -82,12 +79,9 @@ def q_str6(spark, d):
 
 @register("str7_windowed_findings", """
 SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, event_type, count(*) AS events
-FROM events GROUP BY 1, 2
-HAVING max(date_trunc('hour', ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+FROM events GROUP BY 1, 2""")
 def q_str7(spark, d):
+    """All windows, also those still open at the end (update mode keeps their last state)."""
     base = ST.work_dir(spark, "events")
-    ev = T.load(spark, d, "events")
-    s = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
-         .option("maxFilesPerTrigger", 1).parquet(d))
-    ST.run(ST.start_append(ST.windowed_counts(s), f"{base}/out", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/out")
+    ST.run(ST.start_batches(ST.windowed_counts(ST.stream_table(spark, d, "events")), f"{base}/out", f"{base}/ckpt"))
+    return ST.latest_rows(spark, f"{base}/out", ["window_start", "event_type"])

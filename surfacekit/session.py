@@ -38,17 +38,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and streaming state.
-
-    On a cluster this is whatever the cluster names in ``spark.checkpoint.dir``. Only when
-    it is unset (local tests) do we create a scratch folder and record it in the session.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder for lineage cuts and streaming state: what the cluster names in
+    ``spark.checkpoint.dir``. Unset, it is an error, but for a local session, whose tasks all
+    share this machine's folders."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="surfacekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:  # classic sessions: DataFrame.checkpoint() uses the context's folder
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - Spark Connect reads spark.checkpoint.dir itself
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path

@@ -26,9 +26,10 @@ def _pick(values, idx):
                         (F.pmod(idx, F.lit(len(values))) + 1).cast("int"))
 
 
-def findings(spark, d) -> DataFrame:
-    """findings(event_id, finding, url, vuln_class, severity, phase, batch_id, ts)."""
-    ev = T.load(spark, d, "events")
+def findings(spark, d, load=T.load) -> DataFrame:
+    """findings(event_id, finding, url, vuln_class, severity, phase, batch_id, ts). ``load``
+    reads the events, as a table or as a stream."""
+    ev = load(spark, d, "events")
     seed = T.seed_urls(spark, d).select(F.col("page_id").alias("user_id"), F.col("url"))
     e = ev.join(seed, "user_id", "left")
     sev = _pick(SEVERITIES, F.col("event_id"))

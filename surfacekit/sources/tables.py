@@ -11,6 +11,7 @@ token-like string is assembled from row-derived hashes at run time.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,10 +181,10 @@ def render_template(template: str, host_col: str = "host", url_col: str = "page_
     return F.concat(*parts)
 
 
-def js_corpus(spark, d) -> DataFrame:
+def js_corpus(spark, d, load=load) -> DataFrame:
     """(url, content): a script per page at <authority>/static/js/app-<page_id>.js whose
     text is the whole page HTML followed by the seeded snippets."""
-    p = pages(spark, d).select("page_id", F.col("url").alias("page_url"), "html",
+    p = load(spark, d, "pages").select("page_id", F.col("url").alias("page_url"), "html",
                                url_host("url").alias("host"))
     snippets = F.concat_ws("\n", *[render_template(t) for t in SEED_SNIPPETS])
     url = F.concat(url_scheme("page_url"), F.lit("://"), url_authority("page_url"),
@@ -193,7 +194,7 @@ def js_corpus(spark, d) -> DataFrame:
                              F.lit("\n</script>\n")).alias("content"))
 
 
-def document_corpus(spark, d) -> DataFrame:
+def document_corpus(spark, d, load=load) -> DataFrame:
     """(url, content) for ``documents``: url = doc://<source>/<doc_id>."""
     return load(spark, d, "documents").select(
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"),
@@ -201,16 +202,19 @@ def document_corpus(spark, d) -> DataFrame:
         F.col("text").alias("content"))
 
 
-def turn_corpus(spark, d) -> DataFrame:
+def turn_corpus(spark, d, load=load) -> DataFrame:
     """(url, content) for ``conversations``: url = conv://<conv_id>/<turn>."""
     return load(spark, d, "conversations").select(
         F.concat(F.lit("conv://"), F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")).alias("url"),
         F.col("text").alias("content"))
 
 
-def secret_corpus(spark, d) -> DataFrame:
-    """Scripts derived from pages, the documents and the conversation turns: the leak-scan corpus."""
-    return js_corpus(spark, d).unionByName(document_corpus(spark, d)).unionByName(turn_corpus(spark, d))
+def secret_corpus(spark, d, load=load) -> DataFrame:
+    """Scripts derived from pages, the documents and the conversation turns: the leak-scan
+    corpus. ``load`` reads the tables, or streams them."""
+    parts = (js_corpus, document_corpus, turn_corpus)
+    first, *rest = (part(spark, d, load) for part in parts)
+    return reduce(DataFrame.unionByName, rest, first)
 
 
 def robots_docs(spark, d) -> DataFrame:

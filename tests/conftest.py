@@ -17,9 +17,6 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from surfacekit.session import local_session
     s = local_session("4", shuffle_partitions=8, app="surfacekit-tests")
-    # tests only: a scratch checkpoint folder (clusters name theirs in spark.checkpoint.dir)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="surfacekit-test-ckpt-"))
     yield s
     s.stop()
 

@@ -105,7 +105,8 @@ def test_ip_to_network_nested_ranges(spark):
 def test_stream_restart_adds_nothing(spark):
     base = ST.work_dir(spark, "restart")
     f = FD.findings(spark, SF_SMALL).select("event_id", "finding", "vuln_class")
-    path = ST.stage_files(f, f"{base}/in", files=4)
+    path = f"{base}/in"
+    f.repartition(4).write.parquet(path)
     for _ in range(2):
         s = ST.stream_findings(spark, path, f.schema)
         ST.run(ST.start_append(ST.stream_dedup(s.select("finding")), f"{base}/out", f"{base}/ckpt"))

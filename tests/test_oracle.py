@@ -34,8 +34,8 @@ def _digest(cols, rows):
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    rows_only = {"str3_stream_route"}
-    assert set(QUERIES) - set(ORACLE) == rows_only
+    library = {k for k in QUERIES if not k.startswith("op") and k != "pipeline"}
+    assert library <= set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
 
 
