@@ -31,6 +31,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAF_BLOCKS = frozenset("p pre td th li dd dt blockquote figcaption h1 h2 h3 h4 h5 h6".split())
+PARTS = frozenset("tr tbody thead tfoot table ul ol dl".split())  # what holds a list or table is the container
 DROPPED = frozenset("head nav aside footer form fieldset dialog menu button select input option label audio video canvas".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar "
                           "toolbar tooltip status".split())
@@ -42,7 +43,7 @@ DEEPEST = 200  # elements nested deeper stand beside each other at this depth
 
 # Words of class and id attributes that mark parts outside the article.
 UNWANTED = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
+    "ad ads adbox adsbygoogle adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup login sidebar sidebars menu menus nav navbar "
     "navigation breadcrumb breadcrumbs pagination pager masthead header footer foot comment comments disqus respond reply replies "
     "share sharing social related recommended recommendations widget widgets toolbar skip copyright outbrain taboola".split())
@@ -201,6 +202,8 @@ def _score(node: Node, found: list[Node]) -> None:
             points = 1 + text.count(",") + min(len(text) / 100, 3.0)
             holder = node.parent if node.tag in LEAF_BLOCKS else node
             for share in (1.0, 0.5):
+                while holder and holder.tag in PARTS and holder.parent:
+                    holder = holder.parent
                 if holder:
                     holder.score += points * share
                     found.append(holder)
@@ -210,10 +213,24 @@ def _score(node: Node, found: list[Node]) -> None:
         _score(x, found)
 
 
+def _links(node: Node) -> int:
+    return sum((x.tag == "a") + _links(x) for x in node.items if not isinstance(x, str))
+
+
+def _is_menu(node: Node) -> bool:
+    """A list or box of three links or more and little else."""
+    if node.tag not in ("ul", "ol", "dl", "div", "section", "table") or _links(node) < 3:
+        return False
+    text, links = _text_and_links(node)
+    return links > 0.75 * len("".join(text.split()))
+
+
 def _blocks(node: Node, out: list[list[str]]) -> None:
     for x in node.items:
         if isinstance(x, str):
             out[-1].append(x)
+        elif _is_menu(x):
+            out.append([])
         elif x.tag == "br":
             out[-1].append(" ")
         elif x.tag in BLOCK:

@@ -37,7 +37,7 @@ def test_recall_against_brute_force(spark):
 def test_copies_bad_vectors_and_small_tables(spark):
     rng = np.random.default_rng(3)
     same = [0.5, 0.5, -0.5, 0.5]
-    rows = [(k, same) for k in range(0, 60)] + [(100 + k, rng.normal(size=4).tolist()) for k in range(30)]
+    rows = [(k, same) for k in range(0, 60)] + [(100 + k, (0.1 * rng.normal(size=4)).tolist()) for k in range(30)]
     bad = [(900, None), (901, []), (902, [0.0] * 4), (903, [1.0, None, 0.0, 0.0]), (904, [1.0, float("nan"), 0.0, 0.0]),
            (905, [float("inf"), 0.0, 0.0, 0.0]), (906, [1.0, 2.0]), (None, [1.0, 0.0, 0.0, 0.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows + bad], "vec_id long, embedding array<double>, score string")
@@ -81,6 +81,9 @@ PAGES = [
     ("<article><p hidden>no</p><p style='display: none'>no</p><p role=alert>no</p><p>yes &lt;b&gt;</p></article>", "yes <b>"),
     ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
     ("<article><p>İİİ<SCRIPT>x</SCRIPT> after</p></article><nav><p>" + "menu, " * 50 + "</p></nav>", "İİİ after"),
+    ("<article><p>One long paragraph with <a href=x>a link</a> in it.</p><ul><li><a href=1>Home</a><li><a href=2>News</a>"
+     "<li><a href=3>About us</a></ul><ul><li>see <a href=1>this</a> for more</ul></article>",
+     "One long paragraph with a link in it.\nsee this for more"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
 ]
 
@@ -125,7 +128,7 @@ def test_lists_as_of_each_fetch(spark):
     cases = [("http://example.com/x", 9, ""), ("http://example.com/x", 10, "spam"), ("https://u:p@WWW.Example.com.:80/", 19, "spam"),
              ("http://example.com", 20, ""), ("http://a.example.com?q", 29, "adult"), ("http://a.example.com#f", 31, "adult,spam"),
              ("http://notexample.com/", 31, ""), ("http://b.org/", 6, ""), ("http://c.net", 9, ""), (None, 31, ""), ("nonsense", 31, ""),
-             ("http://example.com/x", None, ""), ("http://example.com/x", 10, "spam"), ("http://" + "a." * 3000 + "example.com/", 40, "spam")]
+             ("http://example.com/x", None, ""), ("http://example.com/x", 10, "spam"), ("http://" + "a." * 3000 + "example.com/", 40, "adult,spam")]
     rows = [(k, u, None if d is None else day(d), "x") for k, (u, d, _) in enumerate(cases)]
     out = url_lists.listed(spark.createDataFrame(rows, "page_id long, url string, fetched_on date, pattern string"), lists)
     got = {r["page_id"]: (r["lists"], r["n_lists"], r["blocked"]) for r in out.collect()}
