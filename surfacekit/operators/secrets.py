@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ def _windows(text: str, spans: list[tuple[int, int]], pad: int) -> Iterator[str]
         yield "".join(out) + text[at:hi]
 
 
-def _scanner(rule_set: Rules, pad: int):
+def _scanner(rule_set: Rules, pad: int | None):
     plain = [(r.ord, r.tier, r.name, r.noise_exempt, r.anchors, r.pattern, r.keep) for r in rule_set]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +71,8 @@ def _scanner(rule_set: Rules, pad: int):
                     hits = [m for m in pattern.finditer(text) if m[0] and (keep is None or keep.search(m[0]))]
                     found += [(m.start(), m.end(), ord_, tier, name, exempt, i, m[0]) for i, m in enumerate(hits)]
                 found.sort(key=lambda x: x[:3])
-                for x, window in zip(found, _windows(text, [x[:2] for x in found], pad)):
+                spans = [x[:2] for x in found]
+                for x, window in zip(found, repeat(None) if pad is None else _windows(text, spans, pad)):
                     rows.append((url, *x[2:7], x[0], x[7], window))
                 if len(rows) > 10_000:
                     yield _batch(rows)
@@ -88,10 +90,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def scan_secrets(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
-                 id_col: str = "url", text_col: str = "content") -> DataFrame:
+                 id_col: str = "url", text_col: str = "content", windows: bool = True) -> DataFrame:
     """EXT1 + EXT3: every match of every rule in every document, with its offset and its
-    redacted surroundings: (url, rule_ord, tier, type, noise_exempt, idx, offset, raw, window)."""
-    return corpus.select(F.col(id_col), F.col(text_col)).mapInArrow(_scanner(rule_set, rules.CONTEXT_PAD), MATCHES)
+    redacted surroundings: (url, rule_ord, tier, type, noise_exempt, idx, offset, raw, window).
+    Without ``windows`` the surroundings are null."""
+    return corpus.select(F.col(id_col), F.col(text_col)).mapInArrow(
+        _scanner(rule_set, rules.CONTEXT_PAD if windows else None), MATCHES)
 
 
 def noise_expr(raw: Column, exempt: Column) -> Column:
@@ -139,6 +143,14 @@ def secret_findings(corpus: DataFrame, rule_set: Rules = rules.SECRET_RULES,
     return dedup_secrets(findings(scan_secrets(corpus, rule_set, id_col, text_col)))
 
 
+def count_secrets(corpus: DataFrame, max_tier: int = 2) -> DataFrame:
+    """How many deduplicated findings have a tier up to ``max_tier`` (secrets_found), without
+    masks, contexts or texts: one row per key and task is shuffled."""
+    first = F.min(F.struct("url", "rule_ord", "offset", "tier")).alias("b")
+    keys = keyed(scan_secrets(corpus, windows=False)).groupBy(F.sha2("clean", 256).alias("key")).agg(first)
+    return keys.where(F.col("b.tier") <= max_tier).agg(F.count("*").alias("secrets_found"))
+
+
 def rank_findings(f: DataFrame, max_tier: int | None = 2) -> DataFrame:
     """EXT5: tier order (stable by url, rule, offset); tiers <= ``max_tier`` are exported.
     A range-partitioned sort, never a single-partition global window."""

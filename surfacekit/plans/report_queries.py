@@ -133,15 +133,14 @@ def q_agg4(spark, d):
 
 # --------------------------------------------------------------------------- stats
 def surface_metrics(spark, d) -> DataFrame:
-    """(metric, value) for the 22 stats. Each source table is aggregated once with
-    conditional counts (one pass over the URL corpus for nine metrics, one over responses
-    for four), then the long rows are unioned."""
+    """(metric, value) for the 22 stats: conditional counts per derived table (nine metrics in one
+    aggregate over the URL corpus, four over responses, a count-only leak scan), then the
+    long rows are unioned."""
     urls = T.url_corpus(spark, d)
     resp = O.responses(spark, d)
     live = FL.live_responses(resp)
     js = (FL.drop_vendor_js(FL.js_urls(urls)).select("url")
           .unionByName(O.js_urls(spark, d).select("url")))
-    secrets = SE.secret_findings(T.secret_corpus(spark, d)).where(F.col("tier") <= 2)
     hosts = FL.in_scope(_host_sources(spark, d), "host", I.scope_domains(spark, d))
     f = FD.findings(spark, d).select("finding", "vuln_class").distinct()
 
@@ -170,7 +169,7 @@ def surface_metrics(spark, d) -> DataFrame:
         long(hosts.agg(F.countDistinct("host").alias("total_subdomains")), ["total_subdomains"]),
         long(I.ports(spark, d).agg(F.count("*").alias("open_ports")), ["open_ports"]),
         long(js.agg(F.countDistinct("url").alias("js_files")), ["js_files"]),
-        long(secrets.agg(F.count("*").alias("secrets_found")), ["secrets_found"]),
+        long(SE.count_secrets(T.secret_corpus(spark, d)), ["secrets_found"]),
     ]
     out = parts[0]
     for p in parts[1:]:
