@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surfacekit.llm.common import small_batches
+
 MATCHES = "doc_id long, item_id long, distance int, start long, end long"
 
 
@@ -122,6 +124,7 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.08, block_ch
     block."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item"))
     items = items.where(F.length("item") > 0)
+    small_batches(docs.sparkSession)
     total = items.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_chars))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).where(F.length("text") > 0)

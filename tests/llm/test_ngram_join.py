@@ -46,7 +46,7 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 
 def test_broadcast_and_shuffle_forms_agree(spark, monkeypatch):
     rows = corpus()[:40]
-    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "small_side", lambda df: df)
     assert found(ngram_join.near_duplicates(documents(spark, rows), 4, 85)) == sorted(groups(rows, 4, 85), key=str)
 
 
