@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import stored
+from surfacekit.llm.common import smallest_hashes, stored
 
 SUB_BITS = 8
 
@@ -145,7 +145,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 64,
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     dim = usual["n"] if usual else 0
     rows, asked = rows.where(F.size("v") == dim), asked.where(F.size("v") == dim)
-    fitted = [r["v"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()]
+    fitted = [v for _, v in sorted((r["id"], r["v"]) for r in smallest_hashes(rows, "id", sample).select("id", "v").collect())]
     first = Window.partitionBy("v").orderBy("id")
     same = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     classes = same.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))

@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import held_out, stored
+from surfacekit.llm.common import held_out, smallest_hashes, stored
 
 SYMBOLS = "#$%&*+<=>@[\\]^_`{|}~"  # signs that are rare in prose
 SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -105,9 +105,8 @@ def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", max_rows:
     names = [c for c, kind in stats.dtypes if c != "doc_id" and kind == "double"]
     known = (labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.max(F.col(target).cast("double")).alias("label")))
-    train = (stats.where(~held_out()).dropDuplicates(["doc_id"]).join(known, "doc_id")
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("label", *names))
-    rows = stored(train)
+    train = stats.where(~held_out()).dropDuplicates(["doc_id"]).join(known, "doc_id")
+    rows = stored(smallest_hashes(stored(train), "doc_id", max_rows).select("label", *names))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones in (0, n):
         from math import log
