@@ -10,29 +10,30 @@ from surfacekit.functions.text import strip_ws
 from surfacekit.functions.urls import source_map_url
 
 
-def extract_endpoints(corpus: DataFrame, text_col: str = "content") -> DataFrame:
+def extract_endpoints(corpus: DataFrame, text_col: str = "content", keep: tuple[str, ...] = ()) -> DataFrame:
     """EXT6: the four call-site shapes, trimmed, three characters or more, static assets
-    dropped, distinct. One projection (literal patterns), one distinct aggregate."""
+    dropped, distinct (with the ``keep`` columns, such as the url of the file that holds it). One projection (literal patterns), one distinct aggregate."""
     t = F.col(text_col)
     eps = F.flatten(F.array(*[
         F.regexp_extract_all(t, F.lit(rules.java_form(p)), 1) for p in rules.ENDPOINT_PATTERNS]))
     ep = strip_ws(F.col("ep"))
-    return (corpus.select(F.explode(eps).alias("ep")).select(ep.alias("endpoint"))
+    return (corpus.select(*keep, F.explode(eps).alias("ep")).select(*keep, ep.alias("endpoint"))
             .where((F.length("endpoint") >= 3) & ~F.col("endpoint").rlike("(?i)" + rules.ENDPOINT_STATIC))
             .distinct())
 
 
-def cluster_of(col: str | Column) -> Column:
-    """EXT7: first matching cluster in rule order, else 'other'."""
+def cluster_of(col: str | Column, extra: tuple[tuple[str, str], ...] = ()) -> Column:
+    """EXT7: first matching cluster in rule order, else 'other'. ``extra`` (name, pattern) rules
+    come before the catalog's."""
     c = F.col(col) if isinstance(col, str) else col
     out = F.lit("other")
-    for name, pat in reversed(rules.ENDPOINT_CLUSTERS):
+    for name, pat in reversed((*extra, *rules.ENDPOINT_CLUSTERS)):
         out = F.when(c.rlike(pat), F.lit(name)).otherwise(out)
     return out
 
 
-def cluster_endpoints(eps: DataFrame, col: str = "endpoint") -> DataFrame:
-    return eps.withColumn("cluster", cluster_of(col))
+def cluster_endpoints(eps: DataFrame, col: str = "endpoint", extra: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    return eps.withColumn("cluster", cluster_of(col, extra))
 
 
 def merge_endpoints(engine: DataFrame, tool_lines: DataFrame, line_col: str = "line") -> DataFrame:

@@ -57,6 +57,22 @@ def q_ext7(spark, d):
     return EP.cluster_endpoints(_endpoints(spark, d))
 
 
+_OWN_CLUSTERS = (("search", r"(?i)/search([/?#.]|$)"), ("metrics", r"(?i)/metrics$"))
+
+
+@register("ext7_endpoint_files", S.with_(corpus_cte()) + ",\nper_file AS (\n  " + "\n  UNION ALL ".join(
+    f"SELECT url, unnest(regexp_extract_all(content, {S.lit(p)}, 1)) AS ep FROM js_corpus" for p in rules.ENDPOINT_PATTERNS) + f"""
+), eps AS (
+  SELECT DISTINCT url, regexp_replace(ep, '^[ \\t\\n\\f\\r]+|[ \\t\\n\\f\\r]+$', '', 'g') AS endpoint FROM per_file)
+SELECT url, endpoint, CASE {" ".join(f"WHEN regexp_matches(endpoint, {S.lit(p)}) THEN {S.lit(n)}" for n, p in _OWN_CLUSTERS)}
+  ELSE {cluster_sql('endpoint')} END AS cluster
+FROM eps WHERE length(endpoint) >= 3 AND NOT regexp_matches(endpoint, {S.ci(rules.ENDPOINT_STATIC)})""")
+def q_ext7_files(spark, d):
+    """endpoints(url, endpoint, cluster): which file holds it, with rules of the caller's own first."""
+    eps = EP.extract_endpoints(T.js_corpus(spark, d), keep=("url",))
+    return EP.cluster_endpoints(eps, extra=_OWN_CLUSTERS)
+
+
 _SET3 = S.with_(corpus_cte(), _eps_sql(), S.PAGE_LINKS) + f"""
 , merged AS (
   SELECT endpoint FROM endpoints

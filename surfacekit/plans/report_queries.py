@@ -39,6 +39,12 @@ def q_flt13(spark, d):
     return FL.severity_filter(FD.findings(spark, d)).select("event_id", "finding")
 
 
+@register("flt13_exclude_severities", _F + """
+SELECT event_id, finding FROM findings WHERE severity NOT IN ('info', 'low')""")
+def q_flt13_exclude(spark, d):
+    return FL.severity_filter(FD.findings(spark, d), ("info", "low"), exclude=True).select("event_id", "finding")
+
+
 @register("flt14_drop_log_noise", _L + """
 SELECT stage, line FROM tool_logs WHERE trim(line) <> '' AND NOT contains(line, '[WRN]')
   AND NOT contains(line, '[INF]') AND NOT contains(line, 'invalid semicolon')""")

@@ -27,6 +27,18 @@ def q_flt12(spark, d):
     return FL.live_responses(_resp(spark, d)).select("url", "status")
 
 
+@register("flt12_sweep_responses", _R + f"""
+SELECT url, status FROM responses WHERE status IN {FL.SWEEP_STATUS}""")
+def q_flt12_sweep(spark, d):
+    return FL.live_responses(_resp(spark, d), FL.SWEEP_STATUS).select("url", "status")
+
+
+@register("flt12_version_responses", _R + f"""
+SELECT url, status FROM responses WHERE status IN {FL.VERSION_PROBE_STATUS}""")
+def q_flt12_versions(spark, d):
+    return FL.live_responses(_resp(spark, d), FL.VERSION_PROBE_STATUS).select("url", "status")
+
+
 @register("cls2_route_api_docs", _R + """
 SELECT url, regexp_matches(url, '(?i)swagger|openapi|api-docs|redoc') AS is_api_doc,
        regexp_matches(url, '(?i)graphql|graphiql') AS is_graphql

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from surfacekit import rules
-from surfacekit.functions.text import TOKEN_RUN
+from surfacekit.functions.text import TOKEN_RUN, display_finding
 from surfacekit.operators import secrets as SE
 from surfacekit.plans import sqlbits as S
 from surfacekit.plans.registry import register
@@ -187,6 +187,13 @@ def q_ext4(spark, d):
     return SE.secret_findings(T.secret_corpus(spark, d))
 
 
+@register("prj12_display_finding", _W + """
+SELECT url, rule_ord, "offset", '[' || CAST(tier AS VARCHAR) || '] ' || type || ' | ' || url || ' | ' || match AS line FROM dedup""")
+def q_prj12_finding(spark, d):
+    f = SE.secret_findings(T.secret_corpus(spark, d))
+    return f.select("url", "rule_ord", "offset", display_finding(F.col("tier"), F.col("type"), F.col("url"), F.col("match")).alias("line"))
+
+
 @register("ext5_rank_findings", _W + "SELECT * FROM dedup WHERE tier <= 2")
 def q_ext5(spark, d):
     return SE.rank_findings(SE.secret_findings(T.secret_corpus(spark, d)), max_tier=2)

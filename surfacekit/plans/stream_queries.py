@@ -35,8 +35,8 @@ def q_str1(spark, d):
 @register("str2_stream_dedup", _F + "SELECT DISTINCT finding FROM findings")
 def q_str2(spark, d):
     base, s = _findings(spark, d)
-    ST.run(ST.start_append(ST.stream_dedup(s.select("finding")), f"{base}/out", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/out")
+    ST.run(ST.start_distinct(s.select("finding"), "finding", f"{base}/out", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/out").select("finding")
 
 
 @register("str3_stream_route", _F + """
@@ -45,7 +45,7 @@ def q_str3(spark, d):
     """Dedup + per-class folders in one sink. A repeated line goes to the class it first arrived
     with (arrival order): one row per line, checked to be one of its recorded classes."""
     base, s = _findings(spark, d)
-    ST.run(ST.start_append(ST.stream_dedup(s.select("finding", "vuln_class")), f"{base}/out", f"{base}/ckpt", partition_by="vuln_class"))
+    ST.run(ST.start_distinct(s.select("finding", "vuln_class"), "finding", f"{base}/out", f"{base}/ckpt", partition_by="vuln_class"))
     routed = spark.read.parquet(f"{base}/out").select("finding", F.col("vuln_class").alias("routed"))
     recorded = FD.findings(spark, d).groupBy("finding").agg(F.collect_set("vuln_class").alias("classes"))
     return routed.join(recorded, "finding").select("finding", F.array_contains("classes", F.col("routed")).alias("routed_class_recorded"))

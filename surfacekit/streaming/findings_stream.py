@@ -55,6 +55,20 @@ def stream_dedup(stream: DataFrame, key: str = "finding", watermark: str | None
     return stream.dropDuplicates([key])
 
 
+def start_distinct(df: DataFrame, key: str, out: str, ckpt: str, partition_by: str | None = None):
+    """STR2 / STR3 without a state store: each batch is deduplicated with a partial phase before
+    the shuffle (a hot line sends one row per task), then held against what earlier batches
+    wrote; the sink is the seen-set. A replayed batch replaces its own folder only."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = batch.dropDuplicates([key])
+        if batch_id:
+            seen = batch.sparkSession.read.parquet(out).where(F.col("batch") < batch_id)
+            new = new.join(seen.select(key), key, "left_anti")
+        w = new.write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(f"{out}/batch={batch_id}")
+    return (df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+
 def start_append(df: DataFrame, out: str, ckpt: str, partition_by: str | None = None):
     """STR3: exactly-once file sink (per-class folders when ``partition_by``; reading the
     folder unpartitioned is the master)."""

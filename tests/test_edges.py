@@ -130,3 +130,13 @@ def test_a_failed_stream_raises(spark, tmp_dir):
     bad = spark.readStream.schema("id long").parquet(f"{tmp_dir}/in").select(F.raise_error(F.lit("stop")).alias("x"))
     with pytest.raises(Exception, match="stop"):
         ST.run(ST.start_append(bad, f"{tmp_dir}/out", f"{tmp_dir}/ckpt"))
+
+
+def test_distinct_lines_across_batches(spark, tmp_dir):
+    for k in range(3):
+        spark.createDataFrame([("hot",)] * 50 + [(f"x{k}",), (f"y{k // 2}",)], "finding string").coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+    for _ in range(2):  # the second run finds nothing new
+        s = spark.readStream.schema("finding string").option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in")
+        ST.run(ST.start_distinct(s, "finding", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"))
+    got = [r["finding"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()]
+    assert sorted(got) == ["hot", "x0", "x1", "x2", "y0", "y1"]
