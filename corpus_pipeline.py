@@ -10,26 +10,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surfacekit.llm import decontaminate, ngram_join, packing, quality, substring_dedup
-from surfacekit.llm.common import scratch, stored, table
+from surfacekit.llm.common import scratch, small_side, stored, table
 from surfacekit.llm.queries import END_ID, tokenizer_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble rejects (predicted 0) go; a null doc_id is never rejected."""
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"))
-    rejected = scored.where("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, scored.where("predicted = 0"))
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents whose ids are not in ``found``."""
+    return docs.join(small_side(stored(found.select("doc_id").distinct())), "doc_id", "left_anti").select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with
-    the least id stays, once; documents without words are in no group and stay."""
+    the least id stays, once; documents without words are in no group and stay. Rows that share
+    an id are one document."""
     grouped = stored(ngram_join.near_duplicates(docs, n=5, percent=80))
-    others = grouped.where("doc_id != component_id").select("doc_id").distinct()
-    wordless = grouped.where("n_shingles = 0").select("doc_id").distinct().withColumn("wordless", F.lit(True))
-    kept = docs.join(others, "doc_id", "left_anti").join(wordless, "doc_id", "left")
-    repeated = kept.where("wordless is null and doc_id is not null").select(docs.columns).dropDuplicates(["doc_id"])
-    return repeated.unionByName(kept.where("wordless is not null or doc_id is null").select(docs.columns))
+    kept = _without(docs, grouped.where("doc_id != component_id"))
+    repeated = grouped.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    repeated = stored(repeated.select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    again = docs.join(small_side(repeated), "doc_id", "left_semi").select(docs.columns)
+    return _without(kept, repeated).unionByName(again.dropDuplicates(["doc_id"]))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +47,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import text_chunks, worker_cache
+from surfacekit.llm.common import small_batches, text_chunks, worker_cache
 from surfacekit.llm.words import SPACE, WordHasher
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -44,7 +44,7 @@ class WordTokenizer:
     unit as a whole. New words of a batch are encoded in one call and told apart by their last
     token, which carries the end mark of a word. Units are kept by a 64-bit hash."""
 
-    def __init__(self, path: str, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, most: int = 200_000) -> None:
         from tokenizers import Tokenizer
 
         self.encoder, self.most = Tokenizer.from_file(path), most
@@ -141,7 +141,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, extra: tuple[str, ..
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 texts = part.column("text").cast(pa.binary()).to_pylist()
-                ids = [x + last for a, b in text_chunks(texts, 1 << 22) for x in encode(texts[a:b])]
+                ids = [x + last for a, b in text_chunks(texts, 1 << 21) for x in encode(texts[a:b])]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.binary())], [*names, "ids"])
 
     kinds = dict(docs.dtypes)
@@ -237,6 +237,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
 
     A row's group is a hash of its id and its place in the input, so that repeated ids spread
     like others; the number of groups grows with the documents."""
+    small_batches(docs.sparkSession)
     groups = max(1, -(-docs.count() // group_docs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)).alias("part"))

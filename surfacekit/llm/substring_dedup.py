@@ -32,6 +32,9 @@ from surfacekit.llm.fm_index import FMIndex, repeated_spans
 from surfacekit.llm.words import WordHasher, grams, range_hashes
 
 
+BROADCAST_ITEMS = 400_000
+
+
 def _bytes(column: pa.Array) -> list:
     return column.cast(pa.binary()).to_pylist()
 
@@ -156,9 +159,10 @@ def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_
                                              F.first("off").alias("off"), F.first("windows").alias("windows"))
     many = segs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
     segs = segs.join(many, "anchor", "left")
-    wanted = segs.groupBy("row").agg(F.collect_list(F.struct(
-        "anchor", "seg", "off", "windows", "copies", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    texts = docs.select("row", "text").dropDuplicates(["row"]).join(wanted, "row").select("text", "wanted")
+    wanted = stored(segs.groupBy("row").agg(F.collect_list(F.struct(
+        "anchor", "seg", "off", "windows", "copies", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted")))
+    marked = docs.select("row", "text").join(_checked(wanted, "wanted"), "row")
+    texts = marked.dropDuplicates(["row"]).select("text", "wanted")
     kinds = "home long, part long, anchor long, seg long, shift int, copies long, words binary"
     cut = stored(texts.mapInArrow(_cut(window), kinds))
     parts = cut.groupBy("home", "part").agg(F.sum("copies").alias("copies"), F.first("words").alias("words"))
@@ -208,7 +212,13 @@ def _removed(text: str, carried: list[str]):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int = 2000, shard_words: int = 1_000_000) -> DataFrame:
+def _checked(df: DataFrame, items: str) -> DataFrame:
+    """For broadcast only up to a checked number of list items (about 30 bytes each)."""
+    total = df.agg(F.coalesce(F.sum(F.size(items)), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_ITEMS else df
+
+
+def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int = 2000, shard_words: int = 500_000) -> DataFrame:
     """``docs`` with its repeated words taken out of ``text`` (a text that loses words is then
     its kept words joined by one blank), and n_words, n_removed and kept_sha256 (of the kept
     words joined by one blank). Columns of these three names are replaced."""
@@ -218,7 +228,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int =
     text = f"c{names.index('text')}"
     inner = inner.withColumn("row", F.xxhash64(text))
     spans = repeated_intervals(inner.select("row", F.col(text).alias("text")), window, gram, hot, shard_words)
-    whole = inner.join(stored(spans), "row", "left").drop("row")
+    whole = inner.join(_checked(stored(spans), "spans"), "row", "left").drop("row")
     schema = inner.drop("row").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept_sha256": F.lit("")}).schema
     out = whole.mapInArrow(_removed(text, [c for c in inner.columns if c != "row"]), schema)
     return out.toDF(*names, "n_words", "n_removed", "kept_sha256")
