@@ -172,7 +172,8 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of nodes whose sets link, by exact intersection of their sorted n-grams."""
     pairs = stored(pairs)
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "rep.*"))
+    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+    needed = stored(ends.distinct().join(nodes, "node").select("node", "rep.*"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(lower=True)
