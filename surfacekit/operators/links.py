@@ -41,6 +41,7 @@ def resolve_link(page_url: Column, link: Column) -> Column:
         F.when(bare.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), bare)
         .when(bare.startswith("//"), F.concat(base_scheme, F.lit(":"), bare))
         .when(path == "", F.concat(root, F.when(base_path == "", F.lit("/")).otherwise(base_path), query))
+        .when(~joined.contains("/."), F.concat(root, joined, query))  # no dot segments: the usual case
         .otherwise(F.concat(root, without_dots(joined), query)))
     return F.when((link != "") & ~link.rlike(SKIP_LINK) & (resolved != ""), resolved)
 
