@@ -5,7 +5,9 @@ length and commas to their parent and, halved, to its parent; a container's poin
 discounted by its share of link text. The best container is kept with those siblings that have
 enough points or are headings or plain paragraphs beside it. Menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles are cut out by their tags, roles and
-class or id words before scoring and inside the kept part.
+class or id words before scoring and inside the kept part. Words of the layout (has-sidebar,
+no-comments) cut nothing; a box named like such a part stays where it is large and a wrapper:
+by another word, by an article inside, or because hardly any text is left without it.
 
 Null or empty html, and a page without text, give an empty text. White space inside a block
 becomes one blank, blocks are joined by one LF in page order. Unclosed and crossed tags are
@@ -39,6 +41,7 @@ ENDS_BEFORE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr
                "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"),
                "tfoot": ("tbody", "tr", "td", "th")}
 FENCES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}
+HEAD_PARTS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 DEEPEST = 200  # elements nested deeper stand beside each other at this depth
 
 # Words of class and id attributes that mark parts outside the article.
@@ -49,6 +52,8 @@ UNWANTED = frozenset(
     "share sharing social related recommended recommendations widget widgets toolbar skip copyright outbrain taboola".split())
 HEADER_MARKS = frozenset("header masthead".split())  # inside an article these hold its own title
 WANTED = frozenset("article body content entry main post story text page".split())
+LAYOUT = frozenset("wrapper wrap container layout outer inner site row col column columns grid".split())  # wrappers, without points
+_STATE = re.compile(r"(?:has|have|no|not|with|without|is|hide|show|open|closed)[-_]+\S*|\S*[-_](?:open|opened|closed|hidden|disabled|off)")
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(>|\Z)", re.S)
@@ -74,6 +79,8 @@ def parse(html: str) -> Node:
         m = _TOKEN.search(html, at)
         text = html[at : m.start()] if m else html[at:]
         if text:
+            if node.tag == "head" and text.strip():
+                node = node.parent
             node.items.append(unescape(_CUT_END.sub("", text) if not m else text))
         if not m:
             return root
@@ -84,6 +91,8 @@ def parse(html: str) -> Node:
         if not m[4]:  # an unfinished tag
             return root
         tag = tag.lower()
+        if node.tag == "head" and tag not in HEAD_PARTS and (not m[1] or tag in ("body", "html")):
+            node = node.parent  # </head> may be left out
         if m[1]:
             if tag in deeper:
                 del deeper[len(deeper) - 1 - deeper[::-1].index(tag) :]
@@ -143,14 +152,22 @@ def _attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(node.attrs)} if node.attrs.strip(" /") else {}
 
 
+def _names(attrs: dict[str, str]) -> list[set[str]]:
+    """The words of each class and id, but not of a class that tells the state of the layout."""
+    both = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()
+    return [set(re.split(r"[^a-z]+", name)) for name in both.split() if not _STATE.fullmatch(name)]
+
+
 def _marks(attrs: dict[str, str]) -> set[str]:
-    both = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return set(re.split(r"[^a-z]+", both.lower()))
+    return set().union(*_names(attrs))
 
 
-def _prune(node: Node, in_article: bool = False) -> None:
-    """Takes out the parts that are no article text and gives each node its class points."""
+def _prune(node: Node, spare: int = 0, in_article: bool = False, in_wanted: bool = False) -> int:
+    """Takes out the parts that are no article text and gives each node its class points. The
+    size of the largest box cut out by its words alone; ``spare`` such boxes, one inside the
+    other, are kept if they are large."""
     keep: list[Node | str] = []
+    cut, total = 0, None
     for x in node.items:
         if isinstance(x, str):
             keep.append(x)
@@ -160,24 +177,65 @@ def _prune(node: Node, in_article: bool = False) -> None:
         style = attrs.get("style", "").replace(" ", "").lower()
         role = attrs.get("role", "").lower()
         whole = x.tag in ("article", "main", "body")
-        if (x.tag in DROPPED or x.tag == "header" and not in_article or role in DROPPED_ROLES or "hidden" in attrs
-                or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
-                or marks & UNWANTED and not whole and not (marks & WANTED and x.tag in ("section", "div") and _is_large(node, x))):
+        inner, drop = spare, (
+            x.tag in DROPPED or x.tag == "header" and not in_article or role in DROPPED_ROLES or "hidden" in attrs
+            or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style)
+        if not drop and marks & UNWANTED and not whole:
+            total = _size(node) if total is None else total
+            if x.tag not in ("section", "div") or 2 * _size(x) <= total:  # a mere notice
+                drop = True
+            elif not marks & WANTED and not (not in_article and _is_wrapper(node, x, in_wanted)):
+                if spare:
+                    inner -= 1
+                else:
+                    drop, cut = True, max(cut, _size(x))
+        if drop:
             keep.append(" " if x.tag not in BLOCK else "\n")
             continue
         x.score = 25.0 * (whole or role in ("main", "article")) + 10.0 * bool(marks & WANTED)
-        _prune(x, in_article or x.tag in ("article", "main"))
+        cut = max(cut, _prune(x, inner, in_article or x.tag in ("article", "main"), in_wanted or bool(marks & WANTED)))
         keep.append(x)
     node.items = keep
+    return cut
 
 
 def _size(node: Node) -> int:
-    return sum(len(x) if isinstance(x, str) else _size(x) for x in node.items)
+    """Characters, without those of parts that go by their tags."""
+    return sum(len(x.strip()) if isinstance(x, str) else 0 if x.tag in DROPPED or x.tag == "header" else _size(x) for x in node.items)
+
+
+def _is_wrapper(parent: Node, node: Node, in_wanted: bool) -> bool:
+    """A box that is called a wrapper or holds an article, while nothing beside it does."""
+    called = any(n & LAYOUT and not n & UNWANTED for n in _names(_attributes(node)))
+    return (called and not in_wanted or _holds_article(node, in_wanted)) and not any(
+        _is_article(x, in_wanted) or _holds_article(x, in_wanted) for x in parent.items
+        if x is not node and not isinstance(x, str) and x.tag not in DROPPED and not _marks(_attributes(x)) & UNWANTED)
+
+
+def _is_article(node: Node, only_tags: bool = False) -> bool:
+    """Whether an element is an article, or by its words a box for one."""
+    marks = _marks(_attributes(node))
+    return not marks & UNWANTED and (node.tag in ("article", "main") or not only_tags and node.tag in ("section", "div") and bool(marks & WANTED))
+
+
+def _holds_article(node: Node, only_tags: bool = False) -> bool:
+    return any(_is_article(x, only_tags) or not _marks(_attributes(x)) & UNWANTED and _holds_article(x, only_tags)
+               for x in node.items if not isinstance(x, str) and x.tag not in DROPPED)
+
+
+def _is_bare(root: Node, cut: int) -> bool:
+    """Nothing but scraps is left beside a box of ``cut`` characters, and no article."""
+    left = _size(root)
+    return cut > 0 and (left == 0 or 10 * left < cut and not _holds_article(root))
 
 
-def _is_large(parent: Node, node: Node) -> bool:
-    """An element that also has an article word and most of its parent's text is no mere notice."""
-    return 2 * _size(node) > _size(parent)
+def _article_tree(html: str) -> Node:
+    """The page without the parts that are no article text. Where hardly anything is left, the
+    largest boxes were the page's wrappers: more levels of them are kept each time."""
+    spare, root = 0, parse(html)
+    while _is_bare(root, _prune(root, spare)) and spare < DEEPEST:
+        spare, root = max(1, 2 * spare), parse(html)
+    return root
 
 
 def _text_and_links(node: Node) -> tuple[str, int]:
@@ -243,8 +301,7 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
 
 def main_text(html: str | None) -> str:
     """The article text of a page."""
-    root = parse(html or "")
-    _prune(root)
+    root = _article_tree(html or "")
     found: list[Node] = []
     _score(root, found)
     kept: list[Node] = []
