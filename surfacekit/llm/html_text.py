@@ -2,8 +2,9 @@
 
 A page becomes a tree (with the usual implied ends of tags). Paragraphs pass points for their
 length and commas to their parent and, halved, to its parent; a container's points are
-discounted by its share of link text. The best container is kept with those siblings that have
-enough points or are headings or plain paragraphs beside it. Menus, headers, footers, sidebars,
+discounted by its share of link text. The best container is kept whole, with the article or
+main element around it, or else with the lowest element that holds all containers with little
+link text; beside it, text with little link text is kept, in whatever elements it is. Menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles are cut out by their tags, roles and
 class or id words before scoring and inside the kept part. Words of the layout (has-sidebar,
 no-comments) cut nothing; a box named like such a part stays where it is large and a wrapper:
@@ -42,6 +43,7 @@ ENDS_BEFORE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr
                "tfoot": ("tbody", "tr", "td", "th")}
 FENCES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}
 HEAD_PARTS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+MOST_LINKS = 0.25  # share of link text in text that is no menu
 DEEPEST = 200  # elements nested deeper stand beside each other at this depth
 
 # Words of class and id attributes that mark parts outside the article.
@@ -283,8 +285,8 @@ def _is_menu(node: Node) -> bool:
     return links > 0.75 * len("".join(text.split()))
 
 
-def _blocks(node: Node, out: list[list[str]]) -> None:
-    for x in node.items:
+def _blocks(items: list[Node | str], out: list[list[str]]) -> None:
+    for x in items:
         if isinstance(x, str):
             out[-1].append(x)
         elif _is_menu(x):
@@ -293,10 +295,55 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
             out[-1].append(" ")
         elif x.tag in BLOCK:
             out.append([])
-            _blocks(x, out)
+            _blocks(x.items, out)
             out.append([])
         else:
-            _blocks(x, out)
+            _blocks(x.items, out)
+
+
+def _around(best: Node, plain: list[Node]) -> Node:
+    """The outermost article or main element with ``best``, or the lowest one with ``best`` and
+    all of ``plain``, from which parts with much link text and none of those are taken."""
+    line = [best]
+    while line[-1].parent:
+        line.append(line[-1].parent)
+    whole = [x for x in line if x.tag in ("article", "main") or _attributes(x).get("role", "").lower() in ("main", "article")]
+    if whole:
+        return whole[-1]
+    at, high, used = {id(x): k for k, x in enumerate(line)}, 0, set()
+    for x in plain:
+        while id(x) not in at:
+            used.add(id(x))
+            x = x.parent
+        high = max(high, at[id(x)])
+    if high:
+        used.add(id(line[high - 1]))
+        runs = _runs(line[high].items)
+        line[high].items = [x for run in runs if id(run[0]) in used or _is_plain(run) for x in run]
+    return line[high]
+
+
+def _runs(items: list[Node | str]) -> list[list[Node | str]]:
+    """Each block on its own, and the runs of text and inline elements between blocks."""
+    out: list[list[Node | str]] = []
+    open_run = False
+    for x in items:
+        inline = isinstance(x, str) or x.tag not in BLOCK
+        if inline and open_run:
+            out[-1].append(x)
+        else:
+            out.append([x])
+        open_run = inline
+    return out
+
+
+def _is_plain(run: list[Node | str]) -> bool:
+    """A heading, or text of which few characters are links'."""
+    holder = Node("", "", None)
+    holder.items = run
+    text, links = _text_and_links(holder)
+    heading = not isinstance(run[0], str) and run[0].tag in HEADINGS
+    return heading or any(map(str.isalnum, text)) and links <= MOST_LINKS * len(text.strip())
 
 
 def main_text(html: str | None) -> str:
@@ -304,30 +351,23 @@ def main_text(html: str | None) -> str:
     root = _article_tree(html or "")
     found: list[Node] = []
     _score(root, found)
-    kept: list[Node] = []
+    top, kept = root, [[root]]
     if found:
-        value = {}
+        value, plain = {}, []
         for x in found:
             if id(x) not in value:
                 text, links = _text_and_links(x)
                 value[id(x)] = x.score * (1 - links / max(1, len(text.strip())))
-        best = max(found, key=lambda x: value[id(x)])
-        least = max(10.0, value[id(best)] * 0.2)
-        for x in best.parent.items if best.parent else [best]:
-            if isinstance(x, str):
-                continue
-            if x is best or value.get(id(x), 0.0) >= least or x.tag in HEADINGS:
-                kept.append(x)
-            elif x.tag == "p":
-                text, links = _text_and_links(x)
-                if text.strip() and links <= 0.25 * len(text):
-                    kept.append(x)
-    else:
-        kept = [root]
+                if links <= MOST_LINKS * len(text):
+                    plain.append(x)
+        top = _around(max(found, key=lambda x: value[id(x)]), plain)
+        if top.parent:
+            kept = [run for run in _runs(top.parent.items) if run[0] is top or _is_plain(run)]
     out: list[list[str]] = [[]]
-    for x in kept:
+    for run in kept:
         out.append([])
-        _blocks(x, out)
+        for x in run:
+            _blocks(x.items if x is top else [x], out)
         out.append([])
     lines = (" ".join("".join(b).split()) for b in out)
     return "\n".join(x for x in lines if x)

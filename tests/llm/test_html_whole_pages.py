@@ -45,3 +45,22 @@ def test_wrappers_with_a_word_of_the_layout_stay(html):
 @pytest.mark.parametrize("html", PARTS)
 def test_parts_beside_an_article_still_go(html):
     assert html_text.main_text(html) == "One, two"
+
+
+LONG = "<p>" + "A longer paragraph, with commas, of the article. " * 4 + "</p>"
+LINES = " ".join(("A longer paragraph, with commas, of the article. " * 4).split())
+SECTIONS = [
+    (f"<article><section>{LONG * 20}</section><section><p>Short one.</p></section></article>", [LINES] * 20 + ["Short one."]),
+    (f"<main><section>{LONG * 20}</section><ul><li>x<li>y</ul><table><tr><td>c</table><blockquote>Quote</blockquote><pre>code</pre>"
+     "<div>Plain</div></main>", [LINES] * 20 + ["x", "y", "c", "Quote", "code", "Plain"]),
+    (f"<div id=a><div><div>{LONG * 20}</div></div><div><div><p>Short one.</p></div></div></div>", [LINES] * 20 + ["Short one."]),
+    (f"<body>Loose text<div>{LONG * 20}</div><blockquote>Quote</blockquote><ul><li>x</ul>"
+     "<p><a href=1>Home</a> | <a href=2>News</a></p></body>", ["Loose text"] + [LINES] * 20 + ["Quote", "x"]),
+    (f"<body><div><p><a href=1>Some link text of the site</a></p></div><article><section>{LONG * 20}</section><p>End.</p></article></body>",
+     [LINES] * 20 + ["End."]),
+]
+
+
+@pytest.mark.parametrize("html, lines", SECTIONS)
+def test_parts_beside_the_best_section_stay(html, lines):
+    assert html_text.main_text(html).split("\n") == lines
