@@ -8,7 +8,8 @@ their inner products in double precision.
 
 The vectors are dealt at random into shards of bounded size, each with its own index of all
 substrings; the stated queries go to every shard in blocks, and each shard returns its nearest
-ones. Equal vectors are one index entry that lists as many of their smallest ids as can ever be
+ones. Queries that then have fewer than ``k`` rows, although there are more candidates, are
+searched again with a wider radius, at last with that of all bits. Equal vectors are one index entry that lists as many of their smallest ids as can ever be
 returned, so a vector that very many rows share is one entry.
 
 Vectors that are null, empty, of another length than most, zero, or hold null or non-finite
@@ -18,7 +19,7 @@ with no other vector has no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import smallest_hashes, stored
+from surfacekit.llm.common import small_side, smallest_hashes, stored
 
 SUB_BITS = 8
 
@@ -44,6 +45,12 @@ class Codes:
     def radius(self) -> int:
         return sum(r + 1 for r in self.radii) - 1
 
+    def widened(self) -> list[Codes]:
+        """The same codes with the radius half-way to all bits, and with all bits."""
+        bits = SUB_BITS * len(self.radii)
+        steps = sorted({(self.radius + bits + 1) // 2, bits} - {self.radius})
+        return [replace(self, radii=share_radius(r, len(self.radii))) for r in steps]
+
     def encode(self, x: np.ndarray) -> np.ndarray:
         """One byte per substring."""
         return np.packbits((x - self.mean) @ self.rotation > 0, axis=1)
@@ -135,8 +142,8 @@ def _search(model: Codes, k: int):
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 64, recall: float = 0.97,
             sample: int = 20_000, shard_size: int = 16_384, query_block: int = 4_096) -> DataFrame:
-    """The ``k`` nearest other vectors found for each query, by inner product: query_id, rank
-    (from 1), vec_id, score. Both tables have vec_id and embedding. The code is learned on at
+    """The ``k`` nearest other vectors found for each query (all, if there are fewer), by inner
+    product: query_id, rank (from 1), vec_id, score. Both tables have vec_id and embedding. The code is learned on at
     most ``sample`` vectors, those with the smallest hashes of their ids; all are indexed."""
     bad = lambda v: F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     clean = lambda df: (df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
@@ -151,12 +158,32 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = 64,
     classes = same.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     classes, asked = stored(classes), stored(asked)
     shards = max(1, -(-classes.count() // shard_size))
-    blocks = max(1, -(-asked.count() // query_block))
     model = learn_codes(np.array(fitted), bits, k, recall) if fitted else Codes(np.zeros(1), np.zeros((1, 8)), (0,))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", each(shards))
-    right = classes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")).withColumn("block", each(blocks))
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
-        _search(model, k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def search(codes: Codes, some: DataFrame) -> DataFrame:
+        blocks = max(1, -(-some.count() // query_block))
+        left = some.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", each(shards))
+        right = classes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int")).withColumn("block", each(blocks))
+        found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
+            _search(codes, k), "query_id long, vec_id long, score double")
+        return stored(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+
+    own = rows.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
+    total = rows.count()
+    due = asked.select("id").distinct().join(own, "id", "left").select(
+        F.col("id").alias("query_id"), F.least(F.lit(k), total - F.coalesce("own", F.lit(0))).alias("due"))
+    found, out = search(model, asked), None
+    due = stored(due)
+    for codes in model.widened():
+        held = found.groupBy("query_id").agg(F.count("*").alias("held"))
+        short = stored(due.join(held, "query_id", "left").where(F.coalesce("held", F.lit(0)) < F.col("due")).select("query_id"))
+        if short.isEmpty():
+            break
+        ids = small_side(short)
+        done = found.join(ids, "query_id", "left_anti")
+        out = done if out is None else out.unionByName(done)
+        asked, due = asked.join(ids, asked["id"] == ids["query_id"], "left_semi"), due.join(ids, "query_id", "left_semi")
+        found = search(codes, asked)
+    return found if out is None else out.unionByName(found)
