@@ -96,7 +96,8 @@ class PieceCodec:
         own = self.model.encode([as_piece(t) for t in tokens], num_threads=1)
         self.whole = {as_piece(t): [k] for k, t in enumerate(tokens) if own[k] != [k]}
         self.bytes = [as_bytes(self.model.id_to_piece(k)) for k in range(len(tokens))]
-        self.units = UnitEncoder(regex.compile(pattern), self._encode_units)
+        pre_token = regex.compile(pattern)
+        self.units = UnitEncoder(lambda text: pre_token, self._encode_units)
 
     def _encode_units(self, units: list[str]) -> list[list[int]]:
         pieces = [as_piece(u.encode()) for u in units]

@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment of a byte-level BPE (A) and a sentencepiece BPE (B), in Arrow tables.
 
-``tokenised`` encodes every text once and stores the ids. ``aligned_tokens`` flattens the id lists of many
+``tokenised`` encodes every text once and stores the ids. ``all_ends`` flattens the id lists of many
 documents with their parent indices, turns token byte lengths into end offsets by segmented
 cumulative sums, and joins the ends of A and B (Acero, full outer) on the key (document, end):
 ends that both have cut the groups, and in order of the ends every row is one link, whose tokens
@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit.llm.common import small_batches, stored, text_chunks, worker_cache
-from surfacekit.llm.unit_cache import UnitEncoder
+from surfacekit.llm.unit_cache import SharedUnits
 
 HOT_PAIRS = 300_000
 DOC_BITS = 40  # of the join key: document << 40 | end
-BATCH_TOKENS = 1 << 20
-FLUSH_PAIRS = 1 << 20
+BATCH_TOKENS = 1 << 18
+FLUSH_PAIRS = 1 << 19
 TOKENS = "doc_id long, a array<int>, b array<int>"
 COUNTS = "pair long, links long"
 SCORES = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string, "
@@ -52,11 +52,12 @@ def byte_alphabet() -> dict[str, int]:
 class Encoders:
     """Both tokenizers, encoding by units, and the bytes of each id."""
 
-    #: Pre-tokens of the byte-level pre-tokenizer, a fixed value: encoded alone, each stays one.
-    PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    #: Units begin with white space (see SharedUnits). No token of A goes on from a sign to white
+    #: space behind it, and none of B either: its pieces hold a space in front only, and no tab or line end.
+    #: A text with other white space, which may join a unit's, is encoded by A as a whole.
+    OTHER_SPACE = re.compile("[\r\v\f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        import regex
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -67,9 +68,9 @@ class Encoders:
         if (kind["type"], kind["add_prefix_space"], kind["use_regex"]) != ("ByteLevel", False, True):
             raise ValueError("A must pre-tokenise by bytes, with the usual pattern and without a space in front")
         pieces = [b.id_to_piece(k) for k in range(b.get_piece_size())]
-        if any(re.search("[^▁]▁", p) for p in pieces):
-            raise ValueError("B must have no piece that goes on after a word's end")
-        blank = b.piece_to_id("▁")
+        if any(re.search(r"[^▁]▁|[ \t\n]", p) for p in pieces):
+            raise ValueError("B must have no piece with white space but in front")
+        self.blank = b.piece_to_id("▁")
         alphabet, vocabulary = byte_alphabet(), a.get_vocab(with_added_tokens=False)
         spelled = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
@@ -77,23 +78,35 @@ class Encoders:
         self.bytes_a = pa.array(spelled, pa.binary())
         self.bytes_b = pa.array([bytes([int(p[3:5], 16)]) if b.is_byte(k) else b"" if b.is_control(k) or b.is_unknown(k)
                                  else p.replace("▁", " ").encode() for k, p in enumerate(pieces)], pa.binary())
-        self.a = UnitEncoder(regex.compile(self.PRE_TOKEN), lambda units: [e.ids for e in a.encode_batch_fast(units, add_special_tokens=False)])
-        # runs of spaces begin a unit, and the model puts its own first space
-        self.b = UnitEncoder(re.compile(" +[^ ]*"), lambda units: [i if len(u) > 1 else [blank] for u, i in zip(units, b.encode([u[1:] for u in units], num_threads=1))])
+        self.model_a, self.model_b = a, b
+        self.units = SharedUnits([self._encode_a, self._encode_b])
+
+    def _encode_a(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model_a.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _encode_b(self, units: list[str]) -> list[list[int]]:
+        """The model puts a space in front, which is a unit's own first space or has to go."""
+        own = [u[:1] == " " for u in units]
+        found = self.model_b.encode([u[1:] if x else u for u, x in zip(units, own)], num_threads=1)
+        return [([self.blank] if len(u) == 1 else i) if x else i[1:] for u, x, i in zip(units, own, found)]
 
     def __call__(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
         """List arrays of the ids of A and of B, both empty where a text isn't spelled alike."""
-        spaced = [f" {t}" if t else None for t in texts]
-        want = pa.array([t.encode() if t else b"" for t in spaced], pa.large_binary())
-        a, b = id_lists(self.a(spaced)), id_lists(self.b(spaced))
+        spaced = [f" {t}".encode() if t else b"" for t in texts]
+        want = pa.array(spaced, pa.large_binary())
+        a, b = (id_lists(*x) for x in self.units(spaced))
+        if odd := [k for k, t in enumerate(texts) if t and self.OTHER_SPACE.search(t)]:
+            own = self._encode_a([f" {texts[k]}" for k in odd])
+            place = np.arange(len(texts))
+            place[odd] = len(texts) + np.arange(len(odd))
+            a = pa.concat_arrays([a, pa.array(own, a.type)]).take(pa.array(place))
         same = pc.and_(pc.equal(spelling(a, self.bytes_a), want), pc.equal(spelling(b, self.bytes_b), want))
         none = pa.scalar([], a.type)
         return pc.if_else(same, a, none), pc.if_else(same, b, none)
 
 
-def id_lists(ids: list[bytes]) -> pa.Array:
-    offsets = np.cumsum([0, *(len(x) // 4 for x in ids)])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
+def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids, pa.int32()))
 
 
 def spelling(lists: pa.Array, table: pa.Array) -> pa.Array:
@@ -132,20 +145,27 @@ def ends(lists: pa.Array, table: pa.Array, name: str) -> pa.Table:
     return pa.table({"key": pc.bit_wise_or(pc.shift_left(parent, DOC_BITS), end), name: ids, f"at_{name}": pa.array(np.arange(len(ids)))})
 
 
-def aligned_tokens(a: pa.Array, b: pa.Array, encoders: Encoders) -> tuple[pa.Table, pa.Array, pa.Array]:
-    """Of documents with id lists ``a`` and ``b``: links(doc, pair) in order, pair being a's id << 32 | b's; the
-    groups of each document as text, and their numbers."""
-    both = ends(a, encoders.bytes_a, "a").join(ends(b, encoders.bytes_b, "b"), "key", join_type="full outer", use_threads=False).sort_by("key").combine_chunks()
-    doc = pc.shift_right(both["key"], DOC_BITS)
+def all_ends(a: pa.Array, b: pa.Array, encoders: Encoders) -> pa.Table:
+    """The ends of both sides' tokens in order, joined where they meet: key, a, at_a, b, at_b."""
+    both = ends(a, encoders.bytes_a, "a").join(ends(b, encoders.bytes_b, "b"), "key", join_type="full outer", use_threads=False)
+    return both.take(pc.sort_indices(both["key"])).combine_chunks()
+
+
+def links_of(both: pa.Table) -> pa.Table:
+    """links(doc, pair) in order: at each end the tokens that end there or next; pair is a's id << 32 | b's."""
     ids = [pc.fill_null_backward(both[x]).cast(pa.int64()) for x in "ab"]
-    links = pa.table({"doc": doc, "pair": pc.bit_wise_or(pc.shift_left(ids[0], 32), ids[1])})
-    cut = pc.and_(pc.is_valid(both["at_a"]), pc.is_valid(both["at_b"]))
-    cuts = both.filter(cut)
+    return pa.table({"doc": pc.shift_right(both["key"], DOC_BITS), "pair": pc.bit_wise_or(pc.shift_left(ids[0], 32), ids[1])})
+
+
+def groups_of(both: pa.Table, a: pa.Array, b: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The groups of each document as text, and their numbers."""
+    cuts = both.filter(pc.and_(pc.is_valid(both["at_a"]), pc.is_valid(both["at_b"])))
+    doc = pc.shift_right(cuts["key"], DOC_BITS)
     joined = [id_texts(lists, cuts[f"at_{x}"]) for x, lists in (("a", a), ("b", b))]
     texts = pc.binary_join_element_wise(*joined, pa.scalar("|", pa.large_string()))
-    counts = np.bincount(doc.filter(cut).to_numpy(), minlength=len(a))
+    counts = np.bincount(doc.to_numpy(), minlength=len(a))
     whole = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts)))), texts)
-    return links, pc.binary_join(whole, pa.scalar(";", pa.large_string())), pa.array(counts, pa.int64())
+    return pc.binary_join(whole, pa.scalar(";", pa.large_string())), pa.array(counts, pa.int64())
 
 
 def id_texts(lists: pa.Array, last: pa.ChunkedArray) -> pa.Array:
@@ -174,22 +194,26 @@ def _lists(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pa.ListArray.from_arrays(pc.subtract(lists.offsets, lists.offsets[0]), lists.flatten().cast(pa.int32()))
 
 
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("pair", use_threads=False).aggregate([("links", "sum")]).rename_columns(["pair", "links"])
+
+
 def pair_counts(tokens: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """tokens(a, b) -> pair, links: corpus-wide number of links of each pair of ids (a << 32 | b)."""
     paths = (path_a, path_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = _encoders(paths)
-        partial = pa.table({"pair": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        partial: list[pa.Table] = []
         for batch in batches:
             for part in _parts(batch):
-                links, _, _ = aligned_tokens(_lists(part, "a"), _lists(part, "b"), encoders)
-                new = links.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "links"])
-                partial = pa.concat_tables([partial, new]).group_by("pair", use_threads=False).aggregate([("links", "sum")]).rename_columns(["pair", "links"])
-                if partial.num_rows > FLUSH_PAIRS:
-                    yield from partial.to_batches()
-                    partial = partial.slice(0, 0)
-        yield from partial.to_batches()
+                links = links_of(all_ends(_lists(part, "a"), _lists(part, "b"), encoders))
+                partial.append(links.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "links"]))
+                if sum(t.num_rows for t in partial) > FLUSH_PAIRS:
+                    yield from _summed(partial).to_batches()
+                    partial = []
+        if partial:
+            yield from _summed(partial).to_batches()
 
     return tokens.select("a", "b").mapInArrow(run, COUNTS).groupBy("pair").agg(F.sum("links").alias("links"))
 
@@ -229,8 +253,9 @@ def scored(tokens: DataFrame, counts: pa.Table, path_a: str, path_b: str) -> Dat
 
 def _scores(part: pa.RecordBatch, counts: pa.Table, encoders: Encoders) -> pa.RecordBatch:
     a, b = _lists(part, "a"), _lists(part, "b")
-    links, groups, n_groups = aligned_tokens(a, b, encoders)
-    own = links.group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["doc", "pair", "times"])
+    both = all_ends(a, b, encoders)
+    groups, n_groups = groups_of(both, a, b)
+    own = links_of(both).group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["doc", "pair", "times"])
     known = own.join(counts, "pair", join_type="left outer", use_threads=False).combine_chunks()
     times, count = known["times"], pc.fill_null(known["links"], 0)
     known = known.append_column("sum", pc.multiply(times, count)).append_column("hits", pc.multiply(times, pc.fill_null(known["best"], False).cast(pa.int64())))

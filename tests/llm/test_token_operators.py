@@ -21,7 +21,7 @@ P = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
 PATH_A, PATH_B, RANKS = (tokenizer_path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
 ODD = ["", " ", "  ", "a", " a ", "It's a test, don't!  we'll\n\n\tsee 's", "<|endoftext|> <s></s><unk><0x41>", "▁under▁score ▁", "naïve — ﬁ Ⅷ ² 日本語 テスト 한국어 й", "\x00\x01\x7f\x85\xa0 　x",
-       "x" * 3000, " " * 500 + "end" + " " * 7, "emoji 👩‍👩‍👧 \U0010ffff", "12,345.67 1e-9", "a<P>b", "<", "<<S>>", "lone > sign <P", "\r\n\r\n"]
+       "x" * 3000, " " * 500 + "end" + " " * 7, "emoji 👩‍👩‍👧 \U0010ffff", "12,345.67 1e-9", "a<P>b", "<", "<<S>>", "lone > sign <P", "\r\n\r\n", "a;\r\n\t}\r\n b \u3000  x\x85 y", "\n\n x\ty \n"]
 
 
 @pytest.fixture(scope="module")
@@ -166,8 +166,8 @@ def test_long_documents_in_parts_of_a_batch(spelled):
     finally:
         token_alignment.BATCH_TOKENS = size
     assert sum(p.num_rows for p in parts) == 5 and len(parts) > 2
-    n = [token_alignment.aligned_tokens(token_alignment._lists(p, "a"), token_alignment._lists(p, "b"), encoders)[0].num_rows for p in parts]
-    assert sum(n) == token_alignment.aligned_tokens(a, b, encoders)[0].num_rows
+    n = [token_alignment.all_ends(token_alignment._lists(p, "a"), token_alignment._lists(p, "b"), encoders).num_rows for p in parts]
+    assert sum(n) == token_alignment.all_ends(a, b, encoders).num_rows
 
 
 def encoded(spark, rows, extra=""):
@@ -216,7 +216,7 @@ def test_a_token_that_its_merges_do_not_reach_is_one_id_as_a_whole_unit(tmp_path
 
 def test_units_are_kept_within_their_bound_and_long_texts_go_in_blocks(monkeypatch):
     calls = []
-    units = UnitEncoder(re.compile(r"\w+|\W"), lambda u: calls.append(len(u)) or [[len(x)] for x in u], most=50)
+    units = UnitEncoder(lambda t: re.compile(r"\w+|\W"), lambda u: calls.append(len(u)) or [[len(x)] for x in u], most=50)
     monkeypatch.setattr("surfacekit.llm.unit_cache.LONG_TEXT", 100)
     monkeypatch.setattr("surfacekit.llm.unit_cache.BLOCK", 7)
     texts = [f"w{k} " * (k % 50) for k in range(120)] + [None, ""]
@@ -225,7 +225,7 @@ def test_units_are_kept_within_their_bound_and_long_texts_go_in_blocks(monkeypat
         got = [units([t])[0] for t in texts]
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
         assert [np.frombuffer(x, "<u4").tolist() for x in units(texts)] == want
-    assert units.size < 2000
+    assert units.size < 2000 and sum(map(len, units.older)) < 2000
 
 
 def test_byte_bpe_query_on_given_documents(spark, tiktoken_encode):
@@ -279,3 +279,13 @@ def test_fill_middle_query_on_given_documents(spark):
     for r in op13_fill_middle(spark, SF).collect():
         n, form, prefix, middle, output = brute_form(r["doc_id"], given[r["doc_id"]])
         assert tuple(r)[1:] == (n, form, prefix, middle, hashlib.sha256(output.encode()).hexdigest(), hashlib.sha256((given[r["doc_id"]] or "").encode()).hexdigest())
+
+
+def test_shared_units_slice_long_texts_and_forget(spelled):
+    encoders = token_alignment.Encoders(PATH_A, PATH_B)
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice(["alpha", " ", "βeta", "\n", "don't ", "\t", "x" * 70, ". "]) for _ in range(n)) for n in (0, 3, 50, 700, 1, 2000)]
+    whole = [x.to_pylist() for x in encoders(texts)]
+    for most, part in ((5, 1 << 20), (10**6, 64), (3, 100)):
+        encoders.units.most, encoders.units.part = most, part
+        assert [x.to_pylist() for x in encoders(texts)] == whole
