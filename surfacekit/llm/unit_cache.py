@@ -72,7 +72,7 @@ class SharedUnits:
     SPACE = np.isin(np.arange(256), [9, 10, 32])
     BOUND = re.compile(rb"(?<=[^ \t\n])[ \t\n]")
 
-    def __init__(self, encoders: list[Callable[[list[str]], list[list[int]]]], most: int = 300_000, part: int = 1 << 20) -> None:
+    def __init__(self, encoders: list[Callable[[list[str]], list[list[int]]]], most: int = 250_000, part: int = 1 << 19) -> None:
         self.encoders, self.most, self.part = encoders, most, part
         self.hasher = WordHasher()
         self._forget()
