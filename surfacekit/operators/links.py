@@ -1,73 +1,132 @@
 """EXT9 page_links: link extraction from stored HTML, resolved against the page URL.
 
-Narrow (map-only) operator: one projection per page, no shuffle. Whole pages are scanned.
+Narrow (map-only) operator over Arrow batches, no shuffle. One pass of each whole page finds its
+tags, one pass of each tag its attributes, and each link is resolved once; nothing of it is in the
+query's expressions, so plans that use the links stay small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import re
+from collections.abc import Iterator
 
-from surfacekit.functions.urls import url_authority, url_path, url_scheme
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-# values of href / src / action, quoted or not; the page's own base
-LINK_ATTR = r"""(?i)(href|src|action)[ \t\n\f\r]*=[ \t\n\f\r]*("[^"<>]*"|'[^'<>]*'|[^ \t\n\f\r"'<>]+)"""
-BASE_HREF = r"""(?i)<base[^<>]*[ \t\n\f\r]href[ \t\n\f\r]*=[ \t\n\f\r]*["']?([^"'<> \t\n\f\r]+)"""
+# The white space of HTML. Patterns are written so that Python's re and RE2 read them alike.
+WS = "[ \\t\\n\\f\\r]"
+#: Comments, and the text of scripts and style sheets, hold no links; the tags in front stay.
+HIDDEN = (rf"(?is)<!--.*?(?:-->|\z)|(<script(?:[ \t\n\f\r/][^<>]*)?>).*?(?:</script|\z)|(<style(?:[ \t\n\f\r/][^<>]*)?>).*?(?:</style|\z)")
+#: A start tag with its name and the text of its attributes.
+TAG = r"<([A-Za-z][^<>/ \t\n\f\r]*)([^<>]*)>"
+#: One attribute with its value, so that nothing inside a value is taken for an attribute.
+ATTRIBUTE = rf"""[^ \t\n\f\r"'<>/=]+(?:{WS}*={WS}*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r"'<>]+))?"""
+LINK = rf"(?i)^(?:href|src|action){WS}*="
+HREF = rf"(?i)^href{WS}*="
+VALUE = rf"(?s)^[^=]*={WS}*(.*)$"
 SKIP_LINK = r"(?i)^(#|javascript:|mailto:|data:|tel:)"
 
+LINKS = "page_id long, page_url string, link string, url string"
+_NAMES = [c.split()[0] for c in LINKS.split(", ")]
+
+_HIDDEN, _TAG, _ATTRIBUTE = (re.compile(p.replace(r"\z", r"\Z")) for p in (HIDDEN, TAG, ATTRIBUTE))
+_LINK, _HREF, _VALUE, _SKIP = (re.compile(p) for p in (LINK, HREF, VALUE, SKIP_LINK))
+_AMP, _QUOTE = re.compile("(?i)&amp;|&#38;|&#x26;"), re.compile("(?i)&quot;|&#34;")
+_ABSOLUTE, _WEB = re.compile(r"(?i)^[a-z][a-z0-9+.-]*:"), re.compile("(?i)^https?://")
+_PARTS = re.compile(r"^(?:([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*))?", re.S)
+
 
-def without_dots(path: Column) -> Column:
+def without_dots(path: str) -> str:
     """RFC 3986 5.2.4: "." segments go, ".." segments take the one before with them."""
-    segments = F.split(F.substring(path, 2, 2147483647), "/")
-    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: (
-        F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, s))))
-    last = F.element_at(segments, -1)
-    ending = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), ending)
-
-
-def resolve_link(page_url: Column, link: Column) -> Column:
-    """Resolve ``link`` against ``page_url`` (RFC 3986 5.2): absolute, scheme-relative, rooted,
-    query-only, relative, with dot segments. Fragments are dropped; skipped schemes give null."""
-    base_scheme, base_path = url_scheme(page_url), url_path(page_url)
-    root = F.concat(base_scheme, F.lit("://"), url_authority(page_url))
-    base_dir = F.regexp_extract(base_path, r"^(.*/)", 1)
-    base_dir = F.when(base_dir == "", F.lit("/")).otherwise(base_dir)
-    bare = F.regexp_replace(link, "#.*$", "")
-    query = F.regexp_extract(bare, r"(\?.*)$", 1)
-    path = F.regexp_replace(bare, r"\?.*$", "")
-    joined = F.when(path.startswith("/"), path).otherwise(F.concat(base_dir, path))
-    resolved = (
-        F.when(bare.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), bare)
-        .when(bare.startswith("//"), F.concat(base_scheme, F.lit(":"), bare))
-        .when(path == "", F.concat(root, F.when(base_path == "", F.lit("/")).otherwise(base_path), query))
-        .when(~joined.contains("/."), F.concat(root, joined, query))  # no dot segments: the usual case
-        .otherwise(F.concat(root, without_dots(joined), query)))
-    return F.when((link != "") & ~link.rlike(SKIP_LINK) & (resolved != ""), resolved)
+    segments, kept = path[1:].split("/"), []
+    for s in segments:
+        if s == "..":
+            kept = kept[:-1]
+        elif s != ".":
+            kept.append(s)
+    return "/" + "/".join(kept) + ("/" if kept and segments[-1] in (".", "..") else "")
+
+
+class Base:
+    """A base URL, taken apart once; ``resolve`` follows RFC 3986 5.2: absolute, scheme-relative,
+    rooted, query-only, relative, with dot segments. Fragments are dropped; skipped schemes and
+    empty links give None."""
+
+    def __init__(self, url: str | None) -> None:
+        scheme, authority, path = _PARTS.match(url or "").groups(default="")
+        self.scheme = scheme.lower()
+        self.root = f"{self.scheme}://{authority}"
+        self.path = path or "/"
+        self.folder = path[: path.rfind("/") + 1] or "/"
+
+    def resolve(self, link: str) -> str | None:
+        if not link or _SKIP.match(link):
+            return None
+        bare = link.partition("#")[0]
+        if _ABSOLUTE.match(bare):
+            return bare
+        if bare.startswith("//"):
+            return f"{self.scheme}:{bare}"
+        path, mark, query = bare.partition("?")
+        if not path:
+            return self.root + self.path + mark + query
+        joined = path if path.startswith("/") else self.folder + path
+        return self.root + (without_dots(joined) if "/." in joined else joined) + mark + query
+
+
+def decoded(value: str) -> str:
+    """The character references that URLs need."""
+    return _QUOTE.sub('"', _AMP.sub("&", value)) if "&" in value else value
+
+
+def value_of(attribute: str) -> str:
+    raw = _VALUE.match(attribute)[1]
+    if raw[:1] in ('"', "'"):
+        raw = raw[1:-1]
+    return decoded(raw).strip(" ")
+
+
+def links_of(url: str | None, html: str | None) -> Iterator[tuple[str, str]]:
+    """(link, resolved URL) of every href, src and action of a page, in order; the first
+    ``<base href>`` is the base of all."""
+    found, own = [], None
+    for name, text in _TAG.findall(_HIDDEN.sub(lambda m: m[1] or m[2] or "", html or "")):
+        if "=" in text:
+            attributes = [x for x in _ATTRIBUTE.findall(text) if "=" in x]
+            if own is None and name.lower() == "base":
+                own = next((value_of(x) for x in attributes if _HREF.match(x)), None)
+            found += [value_of(x) for x in attributes if _LINK.match(x)]
+    base = Base(url)
+    if own and (moved := base.resolve(own)):
+        base = Base(moved)
+    for link in found:
+        resolved = base.resolve(link)
+        if resolved and _WEB.match(resolved):
+            yield link, resolved
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, page_url, link, url) for every href/src/action of every page. A page's
-    ``<base href>`` is the base of its links."""
-    own = F.col(url_col)
-    base = F.regexp_extract(F.col(html_col), BASE_HREF, 1)
-    raw = pages.select(
-        "page_id", own.alias("page_url"), F.when(base != "", resolve_link(own, _decoded(base))).otherwise(own).alias("base"),
-        F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK_ATTR), 2)).alias("raw"))
-    link = F.trim(_decoded(F.regexp_replace("raw", r"""^["']|["']$""", "")))
-    out = raw.select("page_id", "page_url", "base", link.alias("link"))
-    out = out.select("page_id", "page_url", "link", resolve_link(F.col("base"), F.col("link")).alias("url"))
-    return out.where(F.col("url").isNotNull() & F.col("url").rlike(r"(?i)^https?://"))
-
-
-def _decoded(c: Column) -> Column:
-    """The character references that URLs need."""
-    return F.regexp_replace(F.regexp_replace(c, "(?i)&amp;|&#38;|&#x26;", "&"), "(?i)&quot;|&#34;", '"')
+    """(page_id, page_url, link, url) for every href, src and action of every page that leads to a
+    web URL. Comments, scripts, style sheets and attributes that only end like these (``data-src``,
+    ``formaction``) give none. Null pages give no rows, null page URLs only absolute links;
+    repeated pages give their links each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                rows = [(i, url, *x) for i, url, html in zip(*(c.to_pylist() for c in part.columns)) for x in links_of(url, html)]
+                columns = zip(*rows) if rows else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 3))], _NAMES)
+
+    return pages.select(F.col("page_id").cast("long"), F.col(url_col), F.col(html_col)).mapInArrow(run, LINKS)
 
 
 # FIXED VALUES: robots / sitemap directives kept.
 ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
 SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"
+# FIXED VALUES: the fields of a humans text that name people, contacts and sites.
+HUMANS_FIELD = r"^[ \t]*([A-Za-z][A-Za-z ]*[A-Za-z])[ \t]*:[ \t]*([^ \t\r].*)$"
 
 
 def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind",

@@ -46,8 +46,10 @@ def fragment(u: str) -> str:
 
 
 WS = "[ \\t\\n\\f\\r]"
-LINK_ATTR = rf"""(?i)(href|src|action){WS}*={WS}*("[^"<>]*"|'[^'<>]*'|[^ \t\n\f\r"'<>]+)"""
-BASE_HREF = rf"""(?i)<base[^<>]*{WS}href{WS}*={WS}*["']?([^"'<> \t\n\f\r]+)"""
+# comments, and the text of scripts and style sheets, give no links
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|(<script(?:[ \t\n\f\r/][^<>]*)?>).*?(?:</script|\z)|(<style(?:[ \t\n\f\r/][^<>]*)?>).*?(?:</style|\z)"
+TAG = "<[A-Za-z][^<>]*>"
+ATTRIBUTE = rf"""[^ \t\n\f\r"'<>/=]+(?:{WS}*={WS}*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r"'<>]+))?"""
 
 
 def decoded(c: str) -> str:
@@ -73,14 +75,30 @@ def resolved(base: str, link: str) -> str:
       ELSE {root} || {flat} || {query} END"""
 
 
+def _value(attribute: str) -> str:
+    raw = f"regexp_extract({attribute}, '(?s)^[^=]*={WS}*(.*)$', 1)"
+    bare = f"CASE WHEN {raw}[1] IN (chr(34), chr(39)) THEN substr({raw}, 2, length({raw}) - 2) ELSE {raw} END"
+    return f"trim({decoded(bare)})"
+
+
 PAGE_LINKS = f"""
+links_tags AS (
+  SELECT page_id, url AS page_url, regexp_extract_all(regexp_replace(html, {lit(HIDDEN)}, '\\1\\2', 'g'), {lit(TAG)}) AS tags FROM pages
+),
+links_own AS (
+  SELECT page_id, page_url, tags, list_filter(flatten(list_transform(list_filter(tags, lambda t: regexp_matches(t, '(?i)^<base[ \t\n\f\r/>]')),
+    lambda t: regexp_extract_all(regexp_extract(t, '(?s)^<[A-Za-z][^<>/ \t\n\f\r]*([^<>]*)>$', 1), {lit(ATTRIBUTE)}))),
+    lambda x: regexp_matches(x, '(?i)^href{WS}*=')) AS own FROM links_tags
+),
 links_base AS (
-  SELECT page_id, url AS page_url, html, regexp_extract(html, {lit(BASE_HREF)}, 1) AS own_base FROM pages
+  SELECT page_id, page_url, tags, CASE WHEN len(own) > 0 THEN {_value('own[1]')} ELSE '' END AS own_base FROM links_own
 ),
 links_raw AS (
-  SELECT page_id, page_url, CASE WHEN own_base <> '' THEN {resolved('page_url', decoded('own_base'))} ELSE page_url END AS base,
-    trim({decoded("regexp_replace(raw, '^[" + '"' + "'']|[" + '"' + "'']$', '', 'g')")}) AS link
-  FROM (SELECT *, unnest(regexp_extract_all(html, {lit(LINK_ATTR)}, 2)) AS raw FROM links_base)
+  SELECT page_id, page_url, base, {_value('attribute')} AS link FROM (
+    SELECT page_id, page_url, CASE WHEN own_base <> '' THEN coalesce({resolved('page_url', 'own_base')}, page_url) ELSE page_url END AS base,
+      unnest(flatten(list_transform(tags, lambda t: regexp_extract_all(regexp_extract(t, '(?s)^<[A-Za-z][^<>/ \t\n\f\r]*([^<>]*)>$', 1), {lit(ATTRIBUTE)})))) AS attribute
+    FROM links_base)
+  WHERE regexp_matches(attribute, '(?i)^(href|src|action){WS}*=')
 ),
 links_res AS (SELECT page_id, page_url, link, {resolved('base', 'link')} AS url FROM links_raw),
 page_links AS (
