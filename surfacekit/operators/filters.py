@@ -35,28 +35,33 @@ def in_scope_expr(host: Column, domain: Column) -> Column:
     return (h == d) | F.endswith(h, F.concat(F.lit("."), d))
 
 
-def label_suffixes(host: Column) -> Column:
-    """All label suffixes of a host: a.b.example.com -> [a.b.example.com, b.example.com,
-    example.com, com] (bounded by the label count)."""
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n),
-                       lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+SPLITS = 16
+
+
+def scope_suffixes(host: Column, depths: Column) -> Column:
+    """The suffixes of a host with as many labels as some domain of the scope has (``depths``): what a
+    walk of its reversed labels down a trie of the scope would look at."""
+    labels = F.size(F.split(host, r"\."))
+    return F.transform(F.filter(depths, lambda n: n <= labels), lambda n: F.call_function("substring_index", host, F.lit("."), -n))
 
 
 def in_scope(df: DataFrame, col: str, domains: DataFrame, domain_col: str = "domain",
-             keep: bool = True) -> DataFrame:
+             keep: bool = True, splits: int = SPLITS) -> DataFrame:
     """FLT2 / JN12: exact domain or any dotted subdomain, case-insensitive.
 
     "host equals d or ends with '.d'" is the same as "d is a label suffix of host", so the
-    theta condition becomes equi-joins: distinct hosts x their suffixes, semi-joined with
-    the scope on the suffix, then the rows semi/anti-joined on the host. Neither side is
-    assumed small (a scope derived from data can be large); AQE broadcasts at run time
-    when a side turns out small. ``keep=False`` gives the out-of-scope rows."""
-    scope = domains.select(F.lower(F.trim(F.col(domain_col))).alias("_s")).distinct()
-    hosts = df.select(F.lower(F.col(col)).alias("_h")).distinct()
-    hit = (hosts.select("_h", F.explode(label_suffixes(F.col("_h"))).alias("_s"))
-           .join(scope, "_s", "left_semi").select("_h").distinct())
+    theta condition becomes equi-joins: distinct hosts with their suffixes of the depths that the
+    scope has (at most one a depth; mostly two or three), semi-joined with the scope, then the rows
+    semi/anti-joined on the host. A suffix that holds all hosts is dealt out: a host's hash is
+    part of the key, and the scope stands under each of its ``splits`` values. Neither side is
+    assumed small (a scope derived from data can be large); AQE broadcasts at run time when a side
+    turns out small. ``keep=False`` gives the out-of-scope rows. Null hosts are out of scope."""
+    scope = domains.select(F.lower(F.trim(F.col(domain_col))).alias("_s")).where("_s is not null").distinct()
+    depths = scope.agg(F.collect_set(F.size(F.split("_s", r"\.")))).scalar()
+    hosts = df.select(F.lower(F.col(col)).alias("_h")).where("_h is not null").distinct().select("_h", depths.alias("_d"))
+    dealt = scope.select("_s", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("_k"))
+    hit = (hosts.select("_h", F.pmod(F.hash("_h"), F.lit(splits)).alias("_k"), F.explode(scope_suffixes(F.col("_h"), F.col("_d"))).alias("_s"))
+           .join(dealt, ["_s", "_k"], "left_semi").select("_h").distinct())
     return df.join(hit, F.lower(df[col]) == hit["_h"], "left_semi" if keep else "left_anti")
 
 

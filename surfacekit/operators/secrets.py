@@ -2,8 +2,9 @@
 
 Plan shape (all narrow until the dedup aggregate):
 
-1. one Arrow-batched pass over the corpus: for every rule whose literal anchors occur in the
-   lower-cased text, one ``finditer`` -- linear in the text and its matches. Each match leaves
+1. one Arrow-batched pass over the corpus: one automaton finds the literal anchors of all rules
+   in the lower-cased text, and every rule with an anchor there has one ``finditer`` -- linear in
+   the text and its matches, however many rules the user adds. Each match leaves
    with its offset and its context; the text itself goes no further. In the context every
    character that any match of any rule covers is already replaced by ``*``, so a context
    never shows the match or a neighbouring one;
@@ -54,29 +55,61 @@ def _windows(text: str, spans: list[tuple[int, int]], pad: int) -> Iterator[str]
         yield "".join(out) + text[at:hi]
 
 
+def _anchor_automaton(rule_set: Rules):
+    """One automaton over all anchors of all rules: each anchor's value is a bit mask of its rules."""
+    import ahocorasick
+
+    masks: dict[str, int] = {}
+    for k, r in enumerate(rule_set):
+        for anchor in r.anchors or ():
+            masks[anchor] = masks.get(anchor, 0) | 1 << k
+    # an anchor inside another one never shadows it: the automaton reports both
+    automaton = ahocorasick.Automaton()
+    for anchor, mask in masks.items():
+        automaton.add_word(anchor, mask)
+    if masks:
+        automaton.make_automaton()
+    return automaton if masks else None
+
+
 def _scanner(rule_set: Rules, pad: int | None):
-    plain = [(r.ord, r.tier, r.name, r.noise_exempt, r.anchors, r.pattern, r.keep) for r in rule_set]
+    rule_list = list(rule_set)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = [(*r[:5], re.compile(r[5], re.A), re.compile(r[6], re.A) if r[6] else None) for r in plain]
+        ready = [(r.ord, r.tier, r.name, r.noise_exempt, re.compile(r.pattern, re.A), re.compile(r.keep, re.A) if r.keep else None) for r in rule_list]
+        automaton = _anchor_automaton(rule_list)
+        always = sum(1 << k for k, r in enumerate(rule_list) if not r.anchors)
+        everything = (1 << len(rule_list)) - 1
+
+        def due(low: str) -> list[int]:
+            """The rules one of whose anchors occurs, from one pass of the text."""
+            mask = always
+            if automaton is not None:
+                for _, own in automaton.iter(low):
+                    mask |= own
+                    if mask == everything:
+                        break
+            return [k for k in range(len(rule_list)) if mask >> k & 1]
+
         for batch in batches:
             rows: list[tuple] = []
-            for url, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not text:
-                    continue
-                low, found = text.lower(), []
-                for ord_, tier, name, exempt, anchors, pattern, keep in ready:
-                    if anchors and not any(x in low for x in anchors):
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                for url, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if not text:
                         continue
-                    hits = [m for m in pattern.finditer(text) if m[0] and (keep is None or keep.search(m[0]))]
-                    found += [(m.start(), m.end(), ord_, tier, name, exempt, i, m[0]) for i, m in enumerate(hits)]
-                found.sort(key=lambda x: x[:3])
-                spans = [x[:2] for x in found]
-                for x, window in zip(found, repeat(None) if pad is None else _windows(text, spans, pad)):
-                    rows.append((url, *x[2:7], x[0], x[7], window))
-                if len(rows) > 10_000:
-                    yield _batch(rows)
-                    rows = []
+                    found = []
+                    for k in due(text.lower()):
+                        ord_, tier, name, exempt, pattern, keep = ready[k]
+                        hits = [m for m in pattern.finditer(text) if m[0] and (keep is None or keep.search(m[0]))]
+                        found += [(m.start(), m.end(), ord_, tier, name, exempt, i, m[0]) for i, m in enumerate(hits)]
+                    found.sort(key=lambda x: x[:3])
+                    spans = [x[:2] for x in found]
+                    for x, window in zip(found, repeat(None) if pad is None else _windows(text, spans, pad)):
+                        rows.append((url, *x[2:7], x[0], x[7], window))
+                    if len(rows) > 10_000:
+                        yield _batch(rows)
+                        rows = []
             yield _batch(rows)
 
     return run

@@ -10,15 +10,20 @@ from surfacekit.functions import urls as U
 from surfacekit.operators import endpoints as EP
 from surfacekit.operators import filters as FL
 from surfacekit.operators import inventory as INV
+from surfacekit.operators import run_history as RH
 from surfacekit.operators.classify import storage_exposure
 from surfacekit.operators.links import page_links
 from surfacekit.plans import sqlbits as S
+from surfacekit.plans import sqlfind as SF
 from surfacekit.plans import sqlinfra as SI
 from surfacekit.plans.endpoint_queries import _cloud_sql
 from surfacekit.plans.registry import register
 from surfacekit.plans.secret_queries import corpus_cte
+from surfacekit.sources import findings as FD
 from surfacekit.sources import infra as I
 from surfacekit.sources import tables as T
+from surfacekit.sources.ledger import Ledger
+from surfacekit.streaming.findings_stream import job_dir
 
 
 def _dns(spark, d):
@@ -278,15 +283,53 @@ def q_set4(spark, d):
                           h.where(F.col("source").isin("ct", "san")))
 
 
+_SIGHT = """
+sightings AS (SELECT DISTINCT {host} AS asset, CAST(ts AS DATE) - DATE '2024-01-01' + 1 AS run FROM findings WHERE starts_with(url, 'http')),
+last AS (SELECT max(run) AS n FROM sightings)""".format(host=S.host("url"))
+_HISTORY = S.with_(S.seed_urls_cte(), SF.FINDINGS, _SIGHT)
+
+
+def _run_history(spark, d):
+    """Hosts that the findings of each day name: a run is a day, numbered from the first day of the
+    event tables on."""
+    f = FD.findings(spark, d).where(F.col("url").startswith("http"))
+    run = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) + 1
+    seen = f.select(U.url_host("url").alias("asset"), run.alias("run")).distinct()
+    return RH.history_of(seen, last_run=seen.agg(F.max("run")).scalar())
+
+
+@register("set4_run_history", _HISTORY + """
+SELECT asset, min(run) AS since, CASE WHEN max(run) < any_value(n) THEN max(run) + 1 END AS until FROM (
+  SELECT asset, run, run - row_number() OVER (PARTITION BY asset ORDER BY run) AS island FROM sightings) , last GROUP BY asset, island""")
+def q_set4_history(spark, d):
+    """The validity intervals of all assets over all runs."""
+    return _run_history(spark, d)
+
+
+@register("set4_run_diff", _HISTORY + """,
+a AS (SELECT asset FROM sightings WHERE run = 10), b AS (SELECT asset FROM sightings WHERE run = 20)
+SELECT coalesce(a.asset, b.asset) AS asset, CASE WHEN a.asset IS NULL THEN 'added' WHEN b.asset IS NULL THEN 'removed' ELSE 'kept' END AS status
+FROM a FULL OUTER JOIN b ON a.asset = b.asset""")
+def q_set4_diff(spark, d):
+    """Runs 10 and 20 compared from the intervals, without the runs between."""
+    return RH.diff_runs(_run_history(spark, d), 10, 20)
+
+
 @register("snk2_append_new", S.with_(SI.CT) + f""",
 ct_lines AS (SELECT {SI.normalize('unnest(string_split(name_value, chr(10)))')} AS host FROM ct_entries)
-SELECT DISTINCT host FROM ct_lines WHERE host <> ''
-  AND host NOT IN (SELECT {S.host('url')} FROM pages)""")
+SELECT host, min(batch) AS batch FROM (
+  SELECT {S.host('url')} AS host, 'pages' AS batch, 1 AS k FROM pages
+  UNION ALL SELECT host, 'zct', 2 FROM ct_lines WHERE host <> '') GROUP BY host""")
 def q_snk2(spark, d):
-    incoming = (I.ct_entries(spark, d).select(F.explode(F.split("name_value", "\n")).alias("raw"))
-                .select(U.normalize_target("raw").alias("host")).where(F.col("host") != ""))
-    existing = T.pages(spark, d).select(U.url_host("url").alias("host"))
-    return INV.append_candidates(existing, incoming, "host")
+    """Two appends to one sink: the page hosts, then the certificate names that it lacks. Both are named,
+    so calling the query again appends nothing."""
+    sink = Ledger(spark, f"{job_dir(spark, 'snk2-hosts', d)}/sink")
+    pages = T.pages(spark, d).select(U.url_host("url").alias("host"), F.lit("pages").alias("batch"))
+    names = (I.ct_entries(spark, d).select(F.explode(F.split("name_value", "\n")).alias("raw"))
+             .select(U.normalize_target("raw").alias("host"), F.lit("zct").alias("batch")).where(F.col("host") != ""))
+    for name, rows in (("pages", pages), ("zct", names)):
+        sink.append_new(rows, "host", name=name)
+    return sink.read()
 
 
 def _variants_sql() -> str:

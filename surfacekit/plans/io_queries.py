@@ -47,6 +47,28 @@ def q_src2(spark, d):
     return df.select("url", "status", "title", F.array_join("tech", ",").alias("tech"))
 
 
+_BLOCK = 200
+
+
+@register("src3_read_json_documents", f"""
+WITH b AS (SELECT doc_id // {_BLOCK} AS block, count(*) AS documents, sum(n_chars) AS chars FROM documents WHERE doc_id IS NOT NULL GROUP BY 1)
+SELECT block, documents, CAST(chars AS BIGINT) AS chars FROM b WHERE block % 3 <> 2
+UNION ALL SELECT -1, count(*), NULL FROM b WHERE block % 3 = 2""")
+def q_src3(spark, d):
+    """Documents in blocks of ids, one JSON file a block, as an array of objects for every other one; every third file
+    is cut short. Rows of the files that parse, and the number of those that do not (block -1)."""
+    base = work_dir(spark, "json")
+    docs = T.load(spark, d, "documents").where("doc_id is not null").select(F.floor(F.col("doc_id") / _BLOCK).alias("block"), "doc_id", "lang", "n_chars")
+    blocks = docs.groupBy("block").agg(F.collect_list(F.struct("doc_id", "lang", "n_chars")).alias("entries"))
+    one = F.to_json(F.struct("block", "entries"))
+    text = (F.when(F.col("block") % 3 == 2, F.substring(one, 1, 40)).when(F.col("block") % 2 == 1, F.concat(F.lit(" [\n"), one, F.lit("]")))
+            .otherwise(one))
+    blocks.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{base}/docs")
+    documents, unparsed = io.json_files(spark, f"{base}/docs", "block bigint, entries array<struct<doc_id:bigint,lang:string,n_chars:bigint>>")
+    rows = documents.select("block", F.inline("entries")).groupBy("block").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("chars"))
+    return rows.unionByName(unparsed.agg(F.lit(-1).cast("long").alias("block"), F.count("*").alias("documents"), F.lit(None).cast("long").alias("chars")))
+
+
 @register("src4_read_csv_results", S.with_(SI.NETWORK) + "SELECT ip, port, service, version FROM services")
 def q_src4(spark, d):
     base = work_dir(spark, "csv")

@@ -3,7 +3,9 @@ FLT13-FLT15, CLS4, PRJ13, PRJ14, JN2, JN13, AGG2-AGG9, WIN4, WIN6, WIN7, SNK4.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit import rules
@@ -15,18 +17,21 @@ from surfacekit.operators import filters as FL
 from surfacekit.operators import inventory as INV
 from surfacekit.operators import reporting as RP
 from surfacekit.operators import secrets as SE
+from surfacekit.operators import stat_store as ST
 from surfacekit.operators.classify import tag_urls
+from surfacekit.operators.links import page_links
 from surfacekit.plans import sqlbits as S
 from surfacekit.plans import sqlfind as SF
 from surfacekit.plans import sqlinfra as SI
 from surfacekit.plans import sqlobs as SO
-from surfacekit.plans.infra_queries import _CT_NAMES, _HOST_SOURCES, _host_sources
+from surfacekit.plans.infra_queries import _CT_NAMES, _HOST_SOURCES
 from surfacekit.plans.registry import register
 from surfacekit.plans.secret_queries import hits_cte
 from surfacekit.sources import findings as FD
 from surfacekit.sources import infra as I
 from surfacekit.sources import observations as O
 from surfacekit.sources import tables as T
+from surfacekit.streaming.findings_stream import job_dir
 
 _F = S.with_(S.seed_urls_cte(), SF.FINDINGS)
 _L = S.with_(S.seed_urls_cte(), SF.FINDINGS, SF.TOOL_LOGS)
@@ -138,53 +143,68 @@ def q_agg4(spark, d):
 
 
 # --------------------------------------------------------------------------- stats
-def surface_metrics(spark, d) -> DataFrame:
-    """(metric, value) for the 22 stats: conditional counts per derived table (nine metrics in one
-    aggregate over the URL corpus, four over responses, a count-only leak scan), then the
-    long rows are unioned."""
-    urls = T.url_corpus(spark, d)
-    resp = O.responses(spark, d)
-    live = FL.live_responses(resp)
-    js = (FL.drop_vendor_js(FL.js_urls(urls)).select("url")
-          .unionByName(O.js_urls(spark, d).select("url")))
-    hosts = FL.in_scope(_host_sources(spark, d), "host", I.scope_domains(spark, d))
-    f = FD.findings(spark, d).select("finding", "vuln_class").distinct()
-
-    def long(df, names):
-        return df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"),
-                                                      F.col(n).cast("bigint").alias("value"))
-                                             for n in names])).alias("m")).select("m.*")
-
-    tag_metric = {"admin": "admin_panels", "sensitive": "sensitive_files", "high_impact": "high_impact_files",
-                  "xss": "xss_candidates", "sqli": "sqli_candidates", "ssrf": "ssrf_candidates",
-                  "redirect": "redirect_cands", "idor": "idor_candidates"}
-    tagged = urls.select(C.tag_array("url").alias("tags"))
-    url_aggs = tagged.agg(F.count("*").alias("total_urls"),
-                          *[F.sum(F.array_contains("tags", t).cast("int")).alias(m) for t, m in tag_metric.items()])
-    host = url_host("url")
-    resp_aggs = live.agg(F.countDistinct(host).alias("live_hosts"), F.countDistinct("url").alias("live_endpoints"),
-                         F.sum(F.col("url").rlike(r"(?i)swagger|openapi|api-docs|redoc").cast("int")).alias("api_docs"),
-                         F.sum(F.col("url").rlike(r"(?i)graphql|graphiql").cast("int")).alias("graphql_endpoints"))
-    cls_metric = {"cves": "cves", "misconfigurations": "misconfigs", "default_logins": "default_logins",
-                  "takeovers": "takeovers", "exposures": "exposures"}
-    f_aggs = f.agg(*[F.sum((F.col("vuln_class") == c).cast("int")).alias(m) for c, m in cls_metric.items()])
+TAG_METRIC = {"admin": "admin_panels", "sensitive": "sensitive_files", "high_impact": "high_impact_files", "xss": "xss_candidates",
+              "sqli": "sqli_candidates", "ssrf": "ssrf_candidates", "redirect": "redirect_cands", "idor": "idor_candidates"}
+CLASS_METRIC = {"cves": "cves", "misconfigurations": "misconfigs", "default_logins": "default_logins", "takeovers": "takeovers",
+                "exposures": "exposures"}
+STAT_TABLES = ("pages", "documents", "conversations", "events")
+
+
+def stat_facts(spark, d: T.Part) -> DataFrame:
+    """The facts of the 22 stats in the files that ``d`` shows. What a row is looked up in (the scope,
+    the page a finding names) is the whole table's."""
+    whole = str(d)
+    p = T.pages(spark, d)
+    links = page_links(p).select("url")
+    urls = p.select("url").unionByName(links).unionByName(T.seed_urls(spark, d).select("url")).distinct()
+    js = FL.drop_vendor_js(FL.js_urls(urls)).select("url").unionByName(O.js_urls(spark, d).select("url"))
+    of_url = F.concat(F.array(F.lit("total_urls")), F.filter(F.transform(C.tag_array("url"), lambda t: F.element_at(_literal_map(TAG_METRIC), t)), lambda m: m.isNotNull()))
+    live = FL.live_responses(O.responses(spark, d)).select("url")
+    api, graph = F.col("url").rlike(r"(?i)swagger|openapi|api-docs|redoc"), F.col("url").rlike(r"(?i)graphql|graphiql")
+    hosts = (p.select(url_host("url").alias("host")).unionByName(links.select(url_host("url").alias("host")))
+             .unionByName(_named_hosts(spark, d, I.scope_domains(spark, whole))).distinct())
+    found = FD.findings(spark, d, pages=whole).select("vuln_class", F.col("finding").alias("key"))
+    of_class = F.element_at(_literal_map(CLASS_METRIC), F.col("vuln_class"))
+    secret = SE.keyed(SE.scan_secrets(T.secret_corpus(spark, d), windows=False))
+    none = F.lit(None).cast(ST.RANK).alias("rank")
     parts = [
-        long(url_aggs, ["total_urls", *tag_metric.values()]),
-        long(resp_aggs, ["live_hosts", "live_endpoints", "api_docs", "graphql_endpoints"]),
-        long(f_aggs, list(cls_metric.values())),
-        long(hosts.agg(F.countDistinct("host").alias("total_subdomains")), ["total_subdomains"]),
-        long(I.ports(spark, d).agg(F.count("*").alias("open_ports")), ["open_ports"]),
-        long(js.agg(F.countDistinct("url").alias("js_files")), ["js_files"]),
-        long(SE.count_secrets(T.secret_corpus(spark, d)), ["secrets_found"]),
+        urls.select(F.explode(of_url).alias("metric"), F.col("url").alias("key"), none),
+        ST.fact(js, "js_files", "url"),
+        ST.fact(live.select(url_host("url").alias("host")), "live_hosts", "host"),
+        ST.fact(live, "live_endpoints", "url"),
+        ST.fact(live.where(api), "api_docs"), ST.fact(live.where(graph), "graphql_endpoints"),
+        ST.fact(FL.in_scope(hosts, "host", I.scope_domains(spark, whole)), "total_subdomains", "host"),
+        ST.fact(I.ports(spark, d).select(F.concat_ws(" ", "host", "ip", "port").alias("port")), "open_ports", "port"),
+        found.select(of_class.alias("metric"), "key", none).where("metric is not null"),
+        secret.select(F.lit("secrets_found").alias("metric"), F.col("clean").alias("key"), F.struct("url", "rule_ord", "offset", "tier").cast(ST.RANK).alias("rank")),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _literal_map(values: dict[str, str]):
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+
+
+def _named_hosts(spark, d, scope) -> DataFrame:
+    ct = INV.explode_ct_names(I.ct_entries(spark, d), scope).select("host")
+    return ct.unionByName(INV.explode_sans(I.tls(spark, d)).select(F.col("san").alias("host")))
+
+
+def stat_store(spark, d) -> ST.StatStore:
+    """The store of the tables at ``d``, brought up to date: only files that it does not cover are
+    scanned. A file that was replaced makes a new store."""
+    ids = {name: ST.file_ids(spark, f"{d.rstrip('/')}/{name}.parquet") for name in STAT_TABLES}
+    everything = {i for files in ids.values() for i in files.values()}
+    generation = 0
+    while (covered := (store := ST.StatStore(spark, f"{job_dir(spark, f'stats-{generation}', d)}")).covered()) - everything:
+        generation += 1
+    new = {name: [path for path, i in files.items() if i not in covered] for name, files in ids.items()}
+    store.add([ids[name][path] for name, paths in new.items() for path in paths], lambda: stat_facts(spark, T.Part(d, new)))
+    return store
 
 
 def surface_stats(spark, d) -> DataFrame:
-    return RP.surface_stats(surface_metrics(spark, d))
+    return RP.surface_stats(ST.merged(stat_store(spark, d).partials()))
 
 
 def _stats_sql() -> str:

@@ -26,11 +26,11 @@ def _pick(values, idx):
                         (F.pmod(idx, F.lit(len(values))) + 1).cast("int"))
 
 
-def findings(spark, d, load=T.load) -> DataFrame:
+def findings(spark, d, load=T.load, pages: str | None = None) -> DataFrame:
     """findings(event_id, finding, url, vuln_class, severity, phase, batch_id, ts). ``load``
-    reads the events, as a table or as a stream."""
+    reads the events, as a table or as a stream; ``pages`` is the folder of the pages if not ``d``."""
     ev = load(spark, d, "events")
-    seed = T.seed_urls(spark, d).select(F.col("page_id").alias("user_id"), F.col("url"))
+    seed = T.seed_urls(spark, pages or d).select(F.col("page_id").alias("user_id"), F.col("url"))
     e = ev.join(seed, "user_id", "left")
     sev = _pick(SEVERITIES, F.col("event_id"))
     target = F.coalesce(F.col("url"), F.concat(F.lit("user-"), F.col("user_id").cast("string")))

@@ -7,12 +7,13 @@ unpartitioned read of the same folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def read_lines(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
@@ -28,16 +29,39 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     """SRC2: JSON Lines with an explicit schema; blank and malformed lines are dropped, the
     same lines whichever columns are used."""
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    whole = StructType([*kind.fields, StructField("_malformed", StringType())])
-    row = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    row = F.from_json("value", _with_rest(kind), _PERMISSIVE)
     lines = spark.read.text(path).where(F.trim("value") != "").select(row.alias("r"))
     return lines.where("r is not null and r._malformed is null").select(*[F.col("r")[f.name].alias(f.name) for f in kind.fields])
 
 
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+
+
+def _with_rest(kind: StructType) -> StructType:
+    return StructType([*kind.fields, StructField("_malformed", StringType())])
+
+
+def json_files(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """SRC3: whole-document JSON, (documents, unparsed). A file holds one object, or one array of
+    objects; documents(file, pos, <schema columns>) has a row for each object, with its place in the
+    file; unparsed(file, n_chars) names the files that are neither, so that none is lost silently.
+    Files of white space alone are unparsed; an empty array gives no rows and counts as parsed."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    one = F.from_json("value", _with_rest(kind), _PERMISSIVE)
+    many = F.from_json("value", ArrayType(kind), {"mode": "PERMISSIVE"})
+    is_list = F.ltrim(F.regexp_replace("value", r"^[\s﻿]+", "")).startswith("[")
+    parsed = files.select("file", F.length("value").alias("n_chars"), is_list.alias("is_list"), F.when(is_list, many).alias("many"), F.when(~is_list, one).alias("one"))
+    good = F.when(F.col("is_list"), F.col("many").isNotNull()).otherwise(F.col("one").isNotNull() & F.col("one._malformed").isNull())
+    fields = F.struct(*[F.col("one")[f.name].alias(f.name) for f in kind.fields])
+    items = F.when(F.col("is_list"), F.col("many")).otherwise(F.array(fields))
+    documents = parsed.where(good).select("file", F.posexplode(items).alias("pos", "doc")).select("file", "pos", *[F.col("doc")[f.name].alias(f.name) for f in kind.fields])
+    return documents, parsed.where(~F.coalesce(good, F.lit(False))).select("file", "n_chars")
+
+
 def read_json_documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """SRC3: one JSON document per file (API responses), explicit schema."""
-    return (spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED")
-            .json(path))
+    """SRC3: the documents of ``json_files`` alone."""
+    return json_files(spark, path, schema)[0].drop("file", "pos")
 
 
 def read_csv_results(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -63,19 +87,39 @@ def union_sources(sources: Mapping[str, DataFrame], col: str = "value") -> DataF
 def write_nonempty(df: DataFrame, path: str, mode: str = "overwrite",
                    partition_by: list[str] | None = None) -> bool:
     """SNK1: write only when there is content (never replace data with an empty result).
-    Returns whether anything was written. ``isEmpty`` reads at most one row."""
-    if df.isEmpty():
-        return False
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return True
+    Returns whether anything was written. The plan runs once: it is written to a folder beside
+    the target and counted meanwhile; only rows take the target's place. A run that fails leaves the
+    target as it was."""
+    spark, seen = df.sparkSession, Observation()
+    target = path.rstrip("/")
+    draft = f"{target}.draft-{uuid.uuid4().hex[:12]}"
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
+    w = w.partitionBy(*partition_by) if partition_by else w
+    w.parquet(draft)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(target).getFileSystem(conf)
+    some = seen.get["n"] > 0
+    if some and mode == "append" and fs.exists(at(target)):
+        rows = spark.read.schema(df.schema).parquet(draft).write.mode("append")
+        (rows.partitionBy(*partition_by) if partition_by else rows).parquet(target)
+    elif some:
+        if fs.exists(at(target)):
+            if mode != "overwrite":
+                fs.delete(at(draft), True)
+                raise ValueError(f"{path} exists")
+            fs.delete(at(target), True)
+        fs.mkdirs(at(target).getParent())
+        if not fs.rename(at(draft), at(target)):
+            raise OSError(f"{draft} could not take the place of {path}")
+    fs.delete(at(draft), True)
+    return some
 
 
 def append_new(spark: SparkSession, incoming: DataFrame, key: str, sink: str) -> int:
-    """SNK2: append only rows whose key is not yet in the sink (and once each); returns the
-    number of rows appended. The sink is read, anti-joined and appended in one job pair."""
+    """SNK2 on a plain Parquet folder: append only rows whose key is not yet in it (and once each);
+    returns the number of rows appended. For one writer at a time; ``ledger.Ledger`` has a commit protocol
+    for several and for retries."""
     from surfacekit.operators.inventory import append_candidates
     try:
         existing = spark.read.parquet(sink)

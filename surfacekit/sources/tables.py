@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from surfacekit.functions.urls import url_host, url_scheme, url_authority
 from surfacekit.operators.links import page_links
+from surfacekit.sources.io import union_sources
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -30,8 +31,21 @@ TEXT_PARTITIONS = "surfacekit.text.partitions"
 TEXT_TABLES = ("documents", "pages", "conversations")
 
 
+class Part(str):
+    """A table folder of which some tables show chosen files only: ``files`` has their paths by table."""
+
+    files: dict[str, list[str]]
+
+    def __new__(cls, sf_dir: str, files: dict[str, list[str]]):
+        out = super().__new__(cls, sf_dir)
+        out.files = files
+        return out
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    chosen = getattr(sf_dir, "files", {}).get(name)
+    df = spark.read.parquet(path) if chosen is None else spark.read.schema(spark.read.parquet(path).schema).parquet(*chosen) if chosen else spark.read.parquet(path).limit(0)
     n = spark.conf.get(TEXT_PARTITIONS, None) if name in TEXT_TABLES else None
     return df.repartition(int(n)) if n else df
 
@@ -92,9 +106,7 @@ def url_sources(spark, d) -> DataFrame:
     """(url, source) from three producers: page URLs, links in pages, seeded URLs.
     Not deduplicated (SET1 does that); the same URL may come from several sources."""
     p = pages(spark, d)
-    return (p.select("url", F.lit("page").alias("source"))
-            .unionByName(page_links(p).select("url", F.lit("link").alias("source")))
-            .unionByName(seed_urls(spark, d).select("url", F.lit("seed").alias("source"))))
+    return union_sources({"page": p, "link": page_links(p), "seed": seed_urls(spark, d)}, "url")
 
 
 def url_corpus(spark, d) -> DataFrame:

@@ -55,7 +55,8 @@ def test_a_failed_append_leaves_nothing_that_a_reader_sees(spark, tmp_dir):
         sink.append_new(broken, "k", name="b")
     assert keys(sink) == [1] and len(sink.commits()) == 1
     assert sink.append_new(frame(spark, range(10, 60)), "k", name="b") == 50
-    assert sink.remove_strays() >= 1 and len(keys(sink)) == 51
+    sink._stage(frame(spark, [77]))  # a writer that died before its commit
+    assert 77 not in keys(sink) and sink.remove_strays() >= 1 and len(keys(sink)) == 51
 
 
 def test_a_taken_version_is_not_overwritten(spark, tmp_dir):
@@ -147,3 +148,43 @@ def test_history_in_one_pass_equals_merging_run_by_run(spark):
 def test_history_of_no_runs(spark):
     none = spark.createDataFrame([], "asset string, run int")
     assert H.history_of(none, 3).collect() == [] and H.churn(H.history_of(none, 3)).collect() == []
+
+
+# ---------------------------------------------------------------------- whole JSON documents, SNK1
+def test_json_files_and_those_that_do_not_parse(spark, tmp_dir):
+    from surfacekit.sources import io
+
+    texts = {"a": '{"u": [{"url": "x"}],\n "s": ["a"]}', "b": ' [{"u": null, "s": ["b"]},\n {"s": ["c"]}]', "c": '{"u": [', "d": "   ", "e": '[{"s": ["c"]}, {"s"', "f": "[]", "g": "{}"}
+    for name, text in texts.items():
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(text)
+    documents, unparsed = io.json_files(spark, tmp_dir, "u array<struct<url:string>>, s array<string>")
+    got = sorted((r["file"][-6], r["pos"], r["s"]) for r in documents.collect())
+    assert [x for x in got if x[0] != "g"] == [("a", 0, ["a"]), ("b", 0, ["b"]), ("b", 1, ["c"])] and ("g", 0, None) in got
+    assert sorted((r["file"][-6], r["n_chars"]) for r in unparsed.collect()) == [(k, len(texts[k])) for k in "cde"]
+    assert documents.select("s").count() == 4  # pruning changes no row
+
+
+def test_a_nonempty_write_runs_its_plan_once_and_keeps_the_target_on_failure(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from surfacekit.sources import io
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    counted = spark.range(0, 8, 1, 2).mapInArrow(count, "id long")
+    assert io.write_nonempty(counted, f"{tmp_dir}/o") and runs.value == 8
+    assert not io.write_nonempty(counted.where("id < 0"), f"{tmp_dir}/o") and runs.value == 16
+    assert spark.read.parquet(f"{tmp_dir}/o").count() == 8
+    with pytest.raises(PySparkException):
+        io.write_nonempty(spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")), f"{tmp_dir}/o")
+    assert spark.read.parquet(f"{tmp_dir}/o").count() == 8
+    assert io.write_nonempty(spark.range(2), f"{tmp_dir}/o", mode="append") and spark.read.parquet(f"{tmp_dir}/o").count() == 10
+    assert io.write_nonempty(spark.range(2).selectExpr("id", "id AS v"), f"{tmp_dir}/o", partition_by=["v"]) and spark.read.parquet(f"{tmp_dir}/o").count() == 2
+    with pytest.raises(ValueError):
+        io.write_nonempty(spark.range(2), f"{tmp_dir}/o", mode="error")
