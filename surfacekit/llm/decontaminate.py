@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import small_batches
+from surfacekit.llm.common import small_batches, stored
 
 MATCHES = "doc_id long, item_id long, distance int, start long, end long"
 
@@ -73,6 +73,11 @@ def best_match(item: str, text: str, budget: int) -> tuple[int, int, int] | None
     return least, end - (back.index(min(back)) + 1), end
 
 
+def at_words(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on across either end of a place."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum() or end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+
+
 class Matcher:
     """The items of one block, ready to search texts."""
 
@@ -98,16 +103,23 @@ class Matcher:
         if not self.items or not text:
             return
         spans: dict[int, list[list[int]]] = {}
+        whole: dict[int, int] = {}
         for last, (size, uses) in self.tree.iter(text):
             for k, offset in uses:
                 _, item, budget = self.items[k]
                 at = last + 1 - size - offset
+                if not budget:  # the piece is the item; one as short stands as words of its own
+                    if k not in whole and at_words(text, at, last + 1):
+                        whole[k] = at
+                    continue
                 a, b = max(0, at - budget), min(len(text), at + len(item) + budget)
                 held = spans.setdefault(k, [])
                 if held and a <= held[-1][1] and b >= held[-1][0]:
                     held[-1] = [min(a, held[-1][0]), max(b, held[-1][1])]
                 else:
                     held.append([a, b])
+        for k, at in whole.items():
+            yield self.items[k][0], 0, at, at + len(self.items[k][1])
         for k, windows in spans.items():
             item_id, item, budget = self.items[k]
             found = [(d, a + s, a + e) for a, b in windows if (m := best_match(item, text[a:b], budget)) for d, s, e in [m]]
@@ -132,6 +144,8 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.08, block_ch
     for k in range(blocks):
         block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).orderBy("item_id").collect()]
         found = texts.mapInArrow(_searcher(block, rate), MATCHES)
+        if blocks > 1:  # its results are written and the block is let go before the next one is read
+            found = stored(found)
         out = found if out is None else out.unionByName(found)
     return out
 

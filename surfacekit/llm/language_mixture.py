@@ -102,9 +102,14 @@ def mixture(counts: np.ndarray, p: np.ndarray, start: np.ndarray, rounds: int =
     return pi, (counts * np.log(pi @ p + 1e-300)).sum(axis=1)
 
 
-def identify(counts: np.ndarray, p: np.ndarray, penalty: float, most: int = 4) -> np.ndarray:
+PATIENCE = 3
+
+
+def identify(counts: np.ndarray, p: np.ndarray, penalty: float) -> np.ndarray:
     """Proportions of the selected language set for each row of trigram counts. ``penalty``
-    times the logarithm of the row's trigrams is the cost of a further language."""
+    times the logarithm of the row's trigrams is the cost of a further language. Sets grow, by
+    the languages' order in the full mixture, up to all of them; a row is done when none of the last
+    ``PATIENCE`` sizes improved its penalised likelihood."""
     total = counts.sum(axis=1)
     cost = penalty * np.log(total + 1)
     single = counts @ np.log(p).T
@@ -120,13 +125,19 @@ def identify(counts: np.ndarray, p: np.ndarray, penalty: float, most: int = 4) -
     full, _ = mixture(c, p, np.full((len(todo), len(p)), 1 / len(p)))
     order = np.argsort(-full, axis=1, kind="stable")
     value = single[todo, best[todo]] - cost[todo]
-    for n in range(2, min(len(p), most) + 1):
-        allowed = np.zeros_like(full)
-        np.put_along_axis(allowed, order[:, :n], 1 / n, axis=1)
-        pi, fit = mixture(c, p, allowed)
-        better = fit - n * cost[todo] > value
-        value = np.where(better, fit - n * cost[todo], value)
-        out[todo[better]] = pi[better]
+    live, last = np.arange(len(todo)), np.ones(len(todo), dtype=np.int64)  # still growing; the size that improved last
+    for n in range(2, len(p) + 1):
+        live = live[n - last[live] <= PATIENCE]
+        if not len(live):
+            break
+        allowed = np.zeros((len(live), len(p)))
+        np.put_along_axis(allowed, order[live, :n], 1 / n, axis=1)
+        pi, fit = mixture(c[live], p, allowed)
+        gained = fit - n * cost[todo[live]]
+        better = gained > value[live]
+        won = live[better]
+        value[won], last[won] = gained[better], n
+        out[todo[won]] = pi[better]
     return out
 
 

@@ -124,10 +124,10 @@ def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", max_rows:
     return RuleModel(float(lasso.intercept), kept)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, carry: tuple[str, ...] = (), **options) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: label 1 likelier) and predicted (score >=
-    ``threshold``) for every row of ``docs``."""
-    stats = stored(text_statistics(docs))
+    ``threshold``) for every row of ``docs``, and its columns in ``carry`` (none of them a double)."""
+    stats = stored(text_statistics(docs, keep=("doc_id", *carry)))
     model = fit(stats, labels, **options)
-    scored = stats.select("doc_id", held_out().alias("held_out"), model.score().alias("score"))
+    scored = stats.select("doc_id", *carry, held_out().alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

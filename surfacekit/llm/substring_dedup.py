@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import stored, text_chunks
+from surfacekit.llm.common import small_side, stored, text_chunks
 from surfacekit.llm.fm_index import FMIndex, repeated_spans
 from surfacekit.llm.words import WordHasher, grams, range_hashes
 
@@ -153,7 +153,7 @@ def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_
     """(row, spans): the repeated word intervals of each text that has any."""
     table = segment_table(docs, window, gram)
     anchors = stored(table.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    held = stored(table.join(anchors, "anchor").groupBy("row", "anchor", "seg", "off", "windows")
+    held = stored(table.join(small_side(anchors), "anchor").groupBy("row", "anchor", "seg", "off", "windows")
                   .agg(F.count("*").alias("copies")))
     segs = held.groupBy("anchor", "seg").agg(F.sum("copies").alias("copies"), F.first("row").alias("row"),
                                              F.first("off").alias("off"), F.first("windows").alias("windows"))
@@ -172,9 +172,32 @@ def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_
              .groupBy("shard").applyInArrow(_shard(window, gram), "home long, part long, lo int, hi int"))
     found = cut.select("home", "part", "anchor", "seg", "shift").join(spans, ["home", "part"]).groupBy("anchor", "seg").agg(
         F.collect_set(F.struct((F.col("lo") + F.col("shift")).alias("lo"), (F.col("hi") + F.col("shift")).alias("hi"))).alias("spans"))
-    return (held.join(found, ["anchor", "seg"]).select("row", "off", F.explode("spans").alias("s"))
-            .select("row", F.struct((F.col("off") + F.col("s.lo")).alias("lo"), (F.col("off") + F.col("s.hi")).alias("hi")).alias("s"))
-            .groupBy("row").agg(F.collect_list("s").alias("spans")))
+    return _of_texts(held, stored(found))
+
+
+def _of_texts(held: DataFrame, found: DataFrame) -> DataFrame:
+    """(row, spans) of each text, from the spans of its segments.
+
+    Segments back to back are a chain. A passage that many texts share has the same segments in
+    each, but for the first and the last, which reach into the surroundings. So the segments between
+    them are one class, joined with their spans once for all texts, and a text is a member of a class by one row:
+    texts bring three rows a passage to the joins, however many segments it has."""
+    here = Window.partitionBy("row").orderBy("off")
+    follows = F.col("off") == F.lag("off").over(here) + F.lag("windows").over(here)
+    chained = held.select("row", "off", "windows", "anchor", "seg").withColumn("head", ~F.coalesce(follows, F.lit(False)))
+    chained = stored(chained.withColumn("chain", F.sum(F.col("head").cast("int")).over(here)).withColumn("tail", F.coalesce(F.lead("head").over(here), F.lit(True))))
+    moved = lambda by: F.transform("spans", lambda x: F.struct((x["lo"] + F.col(by)).alias("lo"), (x["hi"] + F.col(by)).alias("hi")))
+    edges = chained.where("head or tail").join(_checked(found, "spans"), ["anchor", "seg"]).select("row", moved("off").alias("spans"))
+
+    inner = chained.where("not head and not tail").groupBy("row", "chain").agg(F.array_sort(F.collect_list(F.struct("off", "anchor", "seg"))).alias("s"))
+    inner = inner.select("row", F.col("s")[0]["off"].alias("off"), F.transform("s", lambda x: F.struct(
+        (x["off"] - F.col("s")[0]["off"]).alias("rel"), x["anchor"].alias("anchor"), x["seg"].alias("seg"))).alias("segs"))
+    inner = stored(inner.withColumn("class", F.xxhash64("segs")))
+    classes = inner.groupBy("class").agg(F.first("segs").alias("segs")).select("class", F.inline("segs"))
+    of_class = (classes.join(_checked(found, "spans"), ["anchor", "seg"]).select("class", moved("rel").alias("spans"))
+                .groupBy("class").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    members = inner.select("row", "off", "class").join(_checked(stored(of_class), "spans"), "class").select("row", moved("off").alias("spans"))
+    return edges.unionByName(members).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _split(text: bytes | None) -> list[bytes]:
