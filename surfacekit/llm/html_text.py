@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 # Element names of the HTML standard by their use here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title svg math object".split())
+RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title svg object annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead "
                   "tr ul".split())
@@ -53,6 +53,8 @@ UNWANTED = frozenset(
     "navigation breadcrumb breadcrumbs pagination pager masthead header footer foot comment comments disqus respond reply replies "
     "share sharing social related recommended recommendations widget widgets toolbar skip copyright outbrain taboola".split())
 HEADER_MARKS = frozenset("header masthead".split())  # inside an article these hold its own title
+# Words that say nothing of a part's use: a class of these and unwanted words alone marks a paragraph as unwanted.
+NEUTRAL = frozenset("bar block box button buttons icon icons inner item items label line link links list message row text title wrap wrapper".split())
 WANTED = frozenset("article body content entry main post story text page".split())
 LAYOUT = frozenset("wrapper wrap container layout outer inner site row col column columns grid".split())  # wrappers, without points
 _STATE = re.compile(r"(?:has|have|no|not|with|without|is|hide|show|open|closed)[-_]+\S*|\S*[-_](?:open|opened|closed|hidden|disabled|off)")
@@ -105,7 +107,7 @@ def parse(html: str) -> Node:
             node.attrs += m[3]
             continue
         if tag in RAW:
-            if not m[3].endswith("/") or tag not in ("svg", "math"):
+            if not m[3].endswith("/") or tag not in ("svg", "annotation", "annotation-xml"):
                 end = _RAW_END[tag].search(html, at)
                 at = end.start() if end else len(html)
             continue
@@ -164,7 +166,20 @@ def _marks(attrs: dict[str, str]) -> set[str]:
     return set().union(*_names(attrs))
 
 
-def _prune(node: Node, spare: int = 0, in_article: bool = False, in_wanted: bool = False) -> int:
+def _unwanted(node: Node, attrs: dict[str, str], in_article: bool, in_text: bool) -> set[str]:
+    """The words of class and id that mark a part outside the article. Inline elements of a text
+    (marked-up code, words of a sentence) have none; a paragraph of an article has them where a
+    whole name says so, not one word of a name of others; headings are no page headers."""
+    if in_text and node.tag not in BLOCK:
+        return set()
+    if in_article and node.tag in LEAF_BLOCKS:
+        marks = set().union(*(n & UNWANTED for n in _names(attrs) if n and n - {""} <= UNWANTED | NEUTRAL))
+    else:
+        marks = _marks(attrs) & UNWANTED
+    return marks - HEADER_MARKS if in_article or node.tag in HEADINGS else marks
+
+
+def _prune(node: Node, spare: int = 0, in_article: bool = False, in_wanted: bool = False, in_text: bool = False) -> int:
     """Takes out the parts that are no article text and gives each node its class points. The
     size of the largest box cut out by its words alone; ``spare`` such boxes, one inside the
     other, are kept if they are large."""
@@ -175,14 +190,14 @@ def _prune(node: Node, spare: int = 0, in_article: bool = False, in_wanted: bool
             keep.append(x)
             continue
         attrs = _attributes(x)
-        marks = _marks(attrs) - (HEADER_MARKS if in_article else set())
+        marks, unwanted = _marks(attrs), _unwanted(x, attrs, in_article, in_text)
         style = attrs.get("style", "").replace(" ", "").lower()
         role = attrs.get("role", "").lower()
         whole = x.tag in ("article", "main", "body")
         inner, drop = spare, (
-            x.tag in DROPPED or x.tag == "header" and not in_article or role in DROPPED_ROLES or "hidden" in attrs
+            x.tag in DROPPED or x.tag == "header" and not (in_article or _is_title(node, x)) or role in DROPPED_ROLES or "hidden" in attrs
             or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style)
-        if not drop and marks & UNWANTED and not whole:
+        if not drop and unwanted and not whole:
             total = _size(node) if total is None else total
             if x.tag not in ("section", "div") or 2 * _size(x) <= total:  # a mere notice
                 drop = True
@@ -195,12 +210,19 @@ def _prune(node: Node, spare: int = 0, in_article: bool = False, in_wanted: bool
             keep.append(" " if x.tag not in BLOCK else "\n")
             continue
         x.score = 25.0 * (whole or role in ("main", "article")) + 10.0 * bool(marks & WANTED)
-        cut = max(cut, _prune(x, inner, in_article or x.tag in ("article", "main"), in_wanted or bool(marks & WANTED)))
+        cut = max(cut, _prune(x, inner, in_article or x.tag in ("article", "main"), in_wanted or bool(marks & WANTED),
+                              in_text or x.tag in LEAF_BLOCKS or x.tag == "code"))
         keep.append(x)
     node.items = keep
     return cut
 
 
+def _is_title(parent: Node, node: Node) -> bool:
+    """A section's header that holds its heading, and no menu."""
+    inside = [x for x in node.items if not isinstance(x, str)]
+    return parent.tag == "section" and any(x.tag in HEADINGS or x.tag == "hgroup" for x in inside) and not _links(node)
+
+
 def _size(node: Node) -> int:
     """Characters, without those of parts that go by their tags."""
     return sum(len(x.strip()) if isinstance(x, str) else 0 if x.tag in DROPPED or x.tag == "header" else _size(x) for x in node.items)
@@ -285,20 +307,22 @@ def _is_menu(node: Node) -> bool:
     return links > 0.75 * len("".join(text.split()))
 
 
-def _blocks(items: list[Node | str], out: list[list[str]]) -> None:
+def _blocks(items: list[Node | str], out: list[list[str]], in_article: bool = False) -> None:
+    """The blocks of what is kept. A list of links that nothing marks as a menu is text inside an
+    article; elsewhere it is a menu."""
     for x in items:
         if isinstance(x, str):
             out[-1].append(x)
-        elif _is_menu(x):
+        elif not in_article and _is_menu(x):
             out.append([])
         elif x.tag == "br":
             out[-1].append(" ")
         elif x.tag in BLOCK:
             out.append([])
-            _blocks(x.items, out)
+            _blocks(x.items, out, in_article or x.tag in ("article", "main"))
             out.append([])
         else:
-            _blocks(x.items, out)
+            _blocks(x.items, out, in_article)
 
 
 def _around(best: Node, plain: list[Node]) -> Node:
@@ -367,7 +391,7 @@ def main_text(html: str | None) -> str:
     for run in kept:
         out.append([])
         for x in run:
-            _blocks(x.items if x is top else [x], out)
+            _blocks(x.items if x is top else [x], out, x is top and x.tag in ("article", "main"))
         out.append([])
     lines = (" ".join("".join(b).split()) for b in out)
     return "\n".join(x for x in lines if x)

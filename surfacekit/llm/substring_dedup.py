@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import small_side, stored, text_chunks
+from surfacekit.llm.common import stored, text_chunks
 from surfacekit.llm.fm_index import FMIndex, repeated_spans
 from surfacekit.llm.words import WordHasher, grams, range_hashes
 
@@ -69,22 +69,25 @@ def anchored_segments(words: np.ndarray, firsts: np.ndarray, window: int, gram:
 
 
 def segment_table(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """(row, anchor, seg, off, windows) of every segment of every text; seg is its words' hash."""
+    """(row, anchor, seg, off, windows, copies) of every segment of every text; seg is its words'
+    hash. Equal texts of one batch are one row, with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            rows, values = batch.column("row").to_numpy(), _bytes(batch.column("text"))
+            rows, at, times = np.unique(batch.column("row").to_numpy(), return_index=True, return_counts=True)
+            values = _bytes(batch.column("text").take(pa.array(at)))
             for a, b in text_chunks(values):
                 _, _, _, words, firsts = hasher(values[a:b])
                 text, anchor, off, count, first = anchored_segments(words, firsts, window, gram)
                 seg = range_hashes(words, first, first + count + window - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[a:b][text], pa.int64()), pa.array(anchor.view(np.int64), pa.int64()),
-                     pa.array(seg.view(np.int64), pa.int64()), pa.array(off, pa.int32()), pa.array(count, pa.int32())],
-                    ["row", "anchor", "seg", "off", "windows"])
+                     pa.array(seg.view(np.int64), pa.int64()), pa.array(off, pa.int32()), pa.array(count, pa.int32()),
+                     pa.array(times[a:b][text], pa.int64())],
+                    ["row", "anchor", "seg", "off", "windows", "copies"])
 
-    return texts.select("row", "text").mapInArrow(run, "row long, anchor long, seg long, off int, windows int")
+    return texts.select("row", "text").mapInArrow(run, "row long, anchor long, seg long, off int, windows int, copies long")
 
 
 def _cut(window: int):
@@ -152,9 +155,9 @@ def _shard(window: int, gram: int):
 def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_words: int) -> DataFrame:
     """(row, spans): the repeated word intervals of each text that has any."""
     table = segment_table(docs, window, gram)
-    anchors = stored(table.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    held = stored(table.join(small_side(anchors), "anchor").groupBy("row", "anchor", "seg", "off", "windows")
-                  .agg(F.count("*").alias("copies")))
+    anchors = stored(table.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor"))
+    held = stored(table.join(anchors, "anchor").groupBy("row", "anchor", "seg", "off", "windows")
+                  .agg(F.sum("copies").alias("copies")))
     segs = held.groupBy("anchor", "seg").agg(F.sum("copies").alias("copies"), F.first("row").alias("row"),
                                              F.first("off").alias("off"), F.first("windows").alias("windows"))
     many = segs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
