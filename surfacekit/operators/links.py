@@ -125,8 +125,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 # FIXED VALUES: robots / sitemap directives kept.
 ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
 SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"
-# FIXED VALUES: the fields of a humans text that name people, contacts and sites.
-HUMANS_FIELD = r"^[ \t]*([A-Za-z][A-Za-z ]*[A-Za-z])[ \t]*:[ \t]*([^ \t\r].*)$"
+
 
 
 def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind",
