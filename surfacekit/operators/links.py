@@ -127,7 +127,6 @@ ROBOTS_DIRECTIVE = r"(?i)^(disallow|allow|sitemap)[ \t]*:[ \t]*([^ \t]+)"
 SITEMAP_LOC = r"(?i)<loc>[ \t]*([^<]+?)[ \t]*</loc>"
 
 
-
 def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind",
                  text_col: str = "text") -> DataFrame:
     """EXT10 (re-aimed): paths and sitemap URLs from stored robots.txt / sitemap text.
