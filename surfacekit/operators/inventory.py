@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surfacekit.functions.text import display_passive, ipv4_to_long
+from surfacekit.functions.addresses import address_key, network_bits
+from surfacekit.functions.text import display_passive
 from surfacekit.functions.urls import normalize_target, url_key, url_query
 from surfacekit.operators.filters import in_scope
 
@@ -144,28 +145,34 @@ def collapse_urls(urls: DataFrame, col: str = "url") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- network
-def cidr_bounds(cidr: Column) -> tuple[Column, Column, Column]:
-    ip = F.split_part(cidr, F.lit("/"), F.lit(1))
-    bits = F.split_part(cidr, F.lit("/"), F.lit(2)).cast("int")
-    base = ipv4_to_long(ip)
-    size = F.pow(F.lit(2), 32 - bits).cast("bigint")
-    lo = base - F.pmod(base, size)
-    return lo, lo + size - 1, bits
-
-
-def ip_to_network(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
-    """JN8: IPv4 -> CIDR, longest prefix wins. An address lies in a range exactly when its
-    network of the range's prefix length is the range's, so each distinct address is joined
-    by its 33 masked networks on (prefix length, network): one equi-join at any table size."""
-    lo, _, bits = cidr_bounds(F.col("cidr"))
-    r = ranges.select("cidr", "asn", lo.alias("net"), bits.alias("bits"))
-    i = ips.select(F.col(ip_col).alias("ip")).distinct().withColumn("n", ipv4_to_long(F.col("ip")))
-    i = i.where(F.col("n").isNotNull()).select("ip", "n", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("bits"))
-    size = F.pow(F.lit(2), 32 - F.col("bits")).cast("bigint")
-    j = i.select("ip", "bits", (F.col("n") - F.pmod(F.col("n"), size)).alias("net")).join(r, ["bits", "net"])
-    best = j.groupBy("ip").agg(F.max(F.struct("bits", "cidr", "asn")).alias("m"))
-    return best.select("ip", F.col("m.cidr").alias("cidr"), F.col("m.asn").alias("asn"),
-                       F.col("m.bits").alias("prefix"))
+def network_ranges(ranges: DataFrame) -> DataFrame:
+    """(cidr, asn, family, bits, hi, lo): ranges of both families as the first ``bits`` bits of their
+    address; host bits are ignored, and what is no range is left out."""
+    parts = F.split("cidr", "/")
+    r = ranges.select("cidr", "asn", address_key(F.get(parts, F.lit(0))).alias("key"), F.get(parts, F.lit(1)).try_cast("int").alias("bits"))
+    r = r.where((F.size(F.split("cidr", "/")) == 2) & F.col("bits").between(0, F.when(F.col("key.family") == 4, 32).otherwise(128)))
+    hi, lo = network_bits(F.col("key.hi"), F.col("key.lo"), F.col("bits"))
+    return r.select("cidr", "asn", F.col("key.family").alias("family"), "bits", hi.alias("hi"), lo.alias("lo"))
+
+
+def ip_to_network(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip", spread: int = 16) -> DataFrame:
+    """JN8: address of either family -> CIDR, longest prefix wins (ties: the greatest cidr, then asn). An
+    address lies in a range exactly when its network of the range's prefix length is the range's, so
+    each distinct address is joined by its networks of the lengths that its family's ranges have, on
+    (family, length, network). Networks that may hold very many addresses (IPv4 up to /16, all of IPv6)
+    are dealt to ``spread`` keys by a hash of the address. Null and malformed addresses and addresses
+    in no range give no row."""
+    r = network_ranges(ranges)
+    lengths = r.groupBy("family").agg(F.collect_set("bits").alias("lengths"))  # two rows of 33 and 129 values at most
+    i = ips.select(F.col(ip_col).alias("ip")).distinct().withColumn("key", address_key("ip")).where("key is not null")
+    i = i.withColumn("family", F.col("key.family")).join(F.broadcast(lengths), "family").withColumn("bits", F.explode("lengths"))
+    hi, lo = network_bits(F.col("key.hi"), F.col("key.lo"), F.col("bits"))
+    wide = (F.col("family") == 6) | (F.col("bits") <= 16)
+    i = i.select("ip", "family", "bits", hi.alias("hi"), lo.alias("lo"),
+                 F.when(wide, F.pmod(F.xxhash64("ip"), F.lit(spread))).otherwise(F.lit(0)).cast("int").alias("salt"))
+    r = r.withColumn("salt", F.explode(F.sequence(F.lit(0), F.when(wide, spread - 1).otherwise(0))))
+    best = i.join(r, ["family", "bits", "hi", "lo", "salt"]).groupBy("ip").agg(F.max(F.struct("bits", "cidr", "asn")).alias("m"))
+    return best.select("ip", F.col("m.cidr").alias("cidr"), F.col("m.asn").alias("asn"), F.col("m.bits").alias("prefix"))
 
 
 def reverse_dns(ips: DataFrame, ptr: DataFrame, ip_col: str = "ip") -> DataFrame:

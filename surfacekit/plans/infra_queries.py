@@ -215,6 +215,35 @@ def q_jn8(spark, d):
     return INV.ip_to_network(I.host_facts(spark, d), I.asn_ranges(spark))
 
 
+@register("jn8_address_to_network", S.with_(SI.NETWORK) + f""",
+r(cidr, lo, hi) AS (VALUES
+  ('10.0.0.0/8', '0a000000', '0affffff'), ('10.0.0.0/10', '0a000000', '0a3fffff'),
+  ('10.16.0.0/12', '0a100000', '0a1fffff'), ('10.32.0.0/11', '0a200000', '0a3fffff'),
+  ('203.0.113.0/24', 'cb007100', 'cb0071ff'), ('198.51.100.0/24', 'c6336400', 'c63364ff'),
+  ('2001:db8::/32', '20010db8' || repeat('0', 24), '20010db8' || repeat('f', 24)),
+  ('2001:DB8:8000::/33', '20010db88000' || repeat('0', 20), '20010db8ffff' || repeat('f', 20)),
+  ('2001:db8:0:0::/64', '20010db8' || repeat('0', 24), '20010db800000000' || repeat('f', 16)),
+  ('fd00::1/8', 'fd' || repeat('0', 30), 'fd' || repeat('f', 30)),
+  ('fd00:4000::/18', 'fd004000' || repeat('0', 24), 'fd007fff' || repeat('f', 24))),
+a AS (SELECT md5(host) AS m, ip, printf('%08x', {SI.ip_long('ip')}) AS four,
+        CAST('0x' || substr(md5(host), 23, 2) AS INTEGER) % 4 AS form FROM host_facts),
+i AS (SELECT DISTINCT ip, four AS n FROM a UNION SELECT CASE form
+    WHEN 0 THEN upper('2001:db8:' || m[1:4] || ':' || m[5:8] || ':' || m[9:12] || ':' || m[13:16] || ':' || m[17:20] || ':' || m[21:24])
+    WHEN 1 THEN '2001:db8::' || m[1:4] WHEN 2 THEN 'fd00:' || m[1:4] || '::' || m[5:8] || ':' || m[9:12]
+    ELSE '::ffff:' || ip END,
+  CASE form WHEN 0 THEN '20010db8' || m[1:24] WHEN 1 THEN '20010db8' || repeat('0', 20) || m[1:4]
+    WHEN 2 THEN 'fd00' || m[1:4] || repeat('0', 16) || m[5:12] ELSE four END FROM a)
+SELECT ip, cidr, asn, prefix FROM (
+  SELECT i.ip, r.cidr, v.asn, CAST(split_part(r.cidr, '/', 2) AS INTEGER) AS prefix,
+    row_number() OVER (PARTITION BY i.ip ORDER BY CAST(split_part(r.cidr, '/', 2) AS INTEGER) DESC) AS rn
+  FROM i JOIN r ON length(i.n) = length(r.lo) AND i.n BETWEEN r.lo AND r.hi
+  JOIN (VALUES {", ".join(f"({S.lit(c)}, {S.lit(a)})" for c, a in I.ASN_RANGES + I.ASN_RANGES_V6)}) v(cidr, asn) ON v.cidr = r.cidr)
+WHERE rn = 1""")
+def q_jn8_both(spark, d):
+    answers = INV.parse_dns_answers(I.address_lines(spark, d)).where("rtype in ('A', 'AAAA')")
+    return INV.ip_to_network(answers, I.asn_ranges_both(spark), "value")
+
+
 @register("jn9_reverse_dns", S.with_(SI.NETWORK) + """
 SELECT i.ip, p.name FROM (SELECT DISTINCT ip FROM host_facts) i LEFT JOIN ptr p USING (ip)""")
 def q_jn9(spark, d):

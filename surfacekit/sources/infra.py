@@ -131,6 +131,33 @@ def asn_ranges(spark) -> DataFrame:
     return spark.createDataFrame(list(ASN_RANGES), "cidr string, asn string")
 
 
+# FIXED VALUES: network ranges of the other family (nested, one with host bits).
+ASN_RANGES_V6 = (
+    ("2001:db8::/32", "AS64520 v6-edge"),
+    ("2001:DB8:8000::/33", "AS64521 v6-edge-upper"),
+    ("2001:db8:0:0::/64", "AS64522 v6-core"),
+    ("fd00::1/8", "AS64523 v6-private"),
+    ("fd00:4000::/18", "AS64524 v6-private-lab"),
+)
+
+
+def asn_ranges_both(spark) -> DataFrame:
+    return spark.createDataFrame(list(ASN_RANGES + ASN_RANGES_V6), "cidr string, asn string")
+
+
+def address_lines(spark, d) -> DataFrame:
+    """(line): A and AAAA answers per host; the IPv6 texts are whole and in upper case, shortened at
+    the end or in the middle, or hold an IPv4 address."""
+    f = host_facts(spark, d).select("host", "ip", F.md5("host").alias("m"), (hb("host", 11) % 4).alias("form"))
+    g = lambda i: F.substring("m", 4 * i + 1, 4)
+    six = (F.when(F.col("form") == 0, F.upper(F.concat_ws(":", F.lit("2001:db8"), *map(g, range(6)))))
+           .when(F.col("form") == 1, F.concat(F.lit("2001:db8::"), g(0)))
+           .when(F.col("form") == 2, F.concat(F.lit("fd00:"), g(0), F.lit("::"), g(1), F.lit(":"), g(2)))
+           .otherwise(F.concat(F.lit("::ffff:"), F.col("ip"))))
+    return f.select(F.explode(F.array(F.concat("host", F.lit(". 300 IN A "), "ip"),
+                                      F.concat("host", F.lit(". 300 IN AAAA "), six))).alias("line"))
+
+
 def passive_docs(spark, d) -> DataFrame:
     """Passive-source documents with the nested shapes of archive / scan / subdomain APIs."""
     p = T.pages(spark, d).select("url", url_host("url").alias("host"))
