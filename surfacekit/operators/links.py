@@ -139,3 +139,20 @@ def robots_paths(docs: DataFrame, host_col: str = "host", kind_col: str = "kind"
                .select(host_col, F.lit("loc").alias("directive"),
                        F.explode(F.regexp_extract_all("line", F.lit(SITEMAP_LOC), 1)).alias("value")))
     return robots.where(F.col("directive") != "").unionByName(sitemap)
+
+
+HUMANS_FIELD = r"^[ \t]*([^:\s][^:]*?)[ \t]*:[ \t]*(\S.*?)\s*$"
+
+
+def humans_fields(docs: DataFrame, host_col: str = "host", kind_col: str = "kind", text_col: str = "text") -> DataFrame:
+    """EXT10: the fields of stored humans.txt text, (host, section, field, value): ``Label: value`` lines,
+    the label in lower case, under the upper-case name of the last ``/* SECTION */`` before them ('' before
+    the first, or where a heading is not closed). Other lines, null and empty texts give no rows;
+    repeated documents give their fields each. A document is split where it stands, never gathered."""
+    parts = docs.where(F.col(kind_col) == "humans").select(host_col, F.posexplode(F.split(F.col(text_col), r"/\*")).alias("n", "part"))
+    closed = (F.col("n") > 0) & F.contains("part", F.lit("*/"))
+    section = F.when(closed, F.upper(F.trim(F.substring_index("part", "*/", 1)))).otherwise("")
+    body = F.when(closed, F.expr("substr(part, instr(part, '*/') + 2)")).otherwise(F.col("part"))
+    lines = parts.select(host_col, section.alias("section"), F.explode(F.split(body, "\n")).alias("line"))
+    pick = lambda i: F.regexp_extract("line", HUMANS_FIELD, i)
+    return lines.select(host_col, "section", F.lower(pick(1)).alias("field"), pick(2).alias("value")).where("field <> ''")

@@ -27,6 +27,16 @@ def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def top_k_per_group(df: DataFrame, group: str, order: Sequence, k: int, most: int) -> DataFrame:
+    """WIN5 with a cap per group: the first ``k`` rows in ``order`` among each group's first ``most``, so that
+    one host does not fill the sample. Null groups are one group; ties go by the order given, which should
+    end in a key. Both limits are partial before their shuffle, so a group of a third of all rows sends
+    ``most`` rows a task."""
+    w = Window.partitionBy(group).orderBy(*order)
+    at = "place in group"
+    return top_k(df.withColumn(at, F.row_number().over(w)).where(F.col(at) <= most).drop(at), order, k)
+
+
 def top_technologies(resp: DataFrame, k: int = 15) -> DataFrame:
     return top_k(tech_summary(resp), [F.desc("responses"), F.asc("tech")], k)
 

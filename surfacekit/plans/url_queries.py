@@ -11,6 +11,7 @@ from surfacekit.operators.aggregates import distinct_hosts_per_tag
 from surfacekit.operators.classify import tag_urls
 from surfacekit.operators import links as LK
 from surfacekit.operators.links import page_links
+from surfacekit.operators.responses import top_k_per_group
 from surfacekit.plans import sqlbits as S
 from surfacekit.plans.registry import register
 from surfacekit.sources import tables as T
@@ -145,6 +146,37 @@ def q_ext10(spark, d):
     return LK.robots_paths(T.robots_docs(spark, d))
 
 
+@register("ext10_humans_fields", f"""
+WITH h AS (SELECT page_id, {S.host('url')} AS host, {S.scheme('url')} || '://' || {S.host('url')} AS base FROM pages)
+SELECT host, CASE WHEN page_id % 3 > 0 THEN 'TEAM' ELSE '' END AS section, 'editor' AS field, 'person ' || page_id AS value FROM h
+UNION ALL SELECT host, CASE WHEN page_id % 3 > 0 THEN 'TEAM' ELSE '' END, 'contact', 'desk@' || host FROM h
+UNION ALL SELECT host, 'SITE', 'address', base FROM h
+UNION ALL SELECT host, '', 'readers', CAST(page_id AS VARCHAR) FROM h WHERE page_id % 5 = 0""")
+def q_ext10_humans(spark, d):
+    return LK.humans_fields(T.humans_docs(spark, d))
+
+
+# A caller's own classes, beside the library's.
+_OWN_TAGS = (rules.UrlRule("paged", r"[?&]page=[0-9]+"), rules.UrlRule("deep_path", r"^[a-z]+://[^/?#]*(/[^/?#]+){3}"))
+
+
+@register("cls1_user_tags", S.with_(_URLS) + "\nUNION ALL\n".join(
+    f"SELECT url, host, {S.lit(r.tag)} AS tag FROM url_corpus WHERE regexp_matches(url, {S.ci(r.pattern)})"
+    for r in rules.ALL_URL_RULES + _OWN_TAGS))
+def q_cls1_user(spark, d):
+    """CLS1 with rules of the caller's own after the library's."""
+    return tag_urls(T.url_corpus(spark, d).select("url", "host"), rules.ALL_URL_RULES + _OWN_TAGS)
+
+
+@register("win5_urls_per_host", S.with_(_URLS) + """
+SELECT url, host FROM (SELECT url, host, row_number() OVER (PARTITION BY host ORDER BY url) AS n
+  FROM (SELECT DISTINCT url, host FROM url_corpus)) WHERE n <= 20 ORDER BY url LIMIT 50000""")
+def q_win5_hosts(spark, d):
+    """WIN5, Q16: the first 50,000 URLs, 20 of a host at most."""
+    urls = T.url_corpus(spark, d).select("url", "host").distinct()
+    return top_k_per_group(urls, "host", [F.asc("url")], 50_000, 20)
+
+
 @register("srt1_sorted_distinct", S.with_(_URLS) + "SELECT DISTINCT host FROM url_corpus ORDER BY host")
 def q_srt1(spark, d):
     """SRT1: distinct, sorted only at the output (range-partitioned sort)."""

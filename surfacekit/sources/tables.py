@@ -243,3 +243,14 @@ def robots_docs(spark, d) -> DataFrame:
     sitemap = F.concat_ws("\n", F.concat(F.array(F.lit("<urlset>")), locs))
     return (p.select("host", F.lit("robots").alias("kind"), robots.alias("text"))
             .unionByName(p.select("host", F.lit("sitemap").alias("kind"), sitemap.alias("text"))))
+
+
+def humans_docs(spark, d) -> DataFrame:
+    """(host, kind, text): a humans.txt per page, from its URL; some have no first heading, some an open last one."""
+    p = pages(spark, d).select("page_id", url_host("url").alias("host"), url_scheme("url").alias("scheme"))
+    n = F.col("page_id").cast("string")
+    text = F.concat_ws("\n", F.when(F.col("page_id") % 3 > 0, F.lit("/* Team */")), F.concat(F.lit("Editor: person "), n),
+                       F.concat(F.lit("\t Contact :  desk@"), F.col("host"), F.lit("  ")), F.lit("no field here"), F.lit(" : no label"),
+                       F.lit("/* SITE */"), F.concat(F.lit("Address: "), F.col("scheme"), F.lit("://"), F.col("host")), F.lit("Doctype:"),
+                       F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("/* THANKS\nReaders: "), n)))
+    return p.select("host", F.lit("humans").alias("kind"), text.alias("text"))
