@@ -3,8 +3,9 @@ are removed, judged on the input by FM-indexes.
 
 Documents do not meet every index: a window's *anchor*, the least hash among its ``gram``-word
 n-grams, is the same wherever the window stands, so shards are dealt by anchor. A run of windows
-with one anchor is a *segment*. Anchors that occur once are dropped; equal segments are summed
-up before they are shuffled and stand in the index twice at most. Each shard, of a bounded
+with one anchor is a *segment*. Equal segments that one task reads are one row, a *bundle* with the
+places of its members, before they are shuffled. Anchors that occur once are dropped; equal
+segments stand in the index twice at most. Each shard, of a bounded
 number of words, builds the FM-index of its segments and streams the segments through it by
 backward search; spans of ``window`` words or more with two occurrences are reported and mapped
 back to all documents that hold the segment. The windows of an anchor with more than ``hot``
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfacekit.llm.common import stored, text_chunks
@@ -68,26 +69,53 @@ def anchored_segments(words: np.ndarray, firsts: np.ndarray, window: int, gram:
     return text[first], anchor[first], first - firsts[text[first]], np.diff(np.append(start, len(at))), first
 
 
-def segment_table(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """(row, anchor, seg, off, windows, copies) of every segment of every text; seg is its words'
-    hash. Equal texts of one batch are one row, with their number."""
+_MEMBER = pa.struct([("row", pa.int64()), ("off", pa.int32())])
+_SEGMENT = "row long, anchor long, seg long, off int, windows int, copies long, others array<struct<row:long,off:int>>"
+
+
+def _bundles(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Equal segments as one row: the first one's place, how many there are, the others' places."""
+    row, anchor, seg, off, count, times = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(seg, kind="stable")
+    row, anchor, seg, off, count, times = (c[order] for c in (row, anchor, seg, off, count, times))
+    new = np.concatenate(([True], (seg[1:] != seg[:-1]) | (anchor[1:] != anchor[:-1])))
+    first = np.flatnonzero(new)
+    more = np.diff(np.append(first, len(seg))) - 1
+    members = pa.StructArray.from_arrays([pa.array(row[~new], pa.int64()), pa.array(off[~new], pa.int32())], fields=list(_MEMBER))
+    others = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(more))), pa.int32()), members, mask=pa.array(more == 0))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row[first], pa.int64()), pa.array(anchor[first].view(np.int64), pa.int64()),
+         pa.array(seg[first].view(np.int64), pa.int64()), pa.array(off[first], pa.int32()), pa.array(count[first], pa.int32()),
+         pa.array(np.add.reduceat(times, first), pa.int64()), others],
+        ["row", "anchor", "seg", "off", "windows", "copies", "others"])
+
+
+def segment_table(texts: DataFrame, window: int, gram: int, bundle: int) -> DataFrame:
+    """The segments of every text; seg is a segment's words' hash. A task reads texts until they have
+    ``bundle`` segments, and equal ones among these are one row: (row, off) of the first, (row, off) of
+    the others (null: none), copies in all. Equal texts of one batch are one row, with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
+        held, size = [], 0
         for batch in batches:
             rows, at, times = np.unique(batch.column("row").to_numpy(), return_index=True, return_counts=True)
             values = _bytes(batch.column("text").take(pa.array(at)))
             for a, b in text_chunks(values):
                 _, _, _, words, firsts = hasher(values[a:b])
                 text, anchor, off, count, first = anchored_segments(words, firsts, window, gram)
+                if not len(text):
+                    continue
                 seg = range_hashes(words, first, first + count + window - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[a:b][text], pa.int64()), pa.array(anchor.view(np.int64), pa.int64()),
-                     pa.array(seg.view(np.int64), pa.int64()), pa.array(off, pa.int32()), pa.array(count, pa.int32()),
-                     pa.array(times[a:b][text], pa.int64())],
-                    ["row", "anchor", "seg", "off", "windows", "copies"])
+                held.append((rows[a:b][text], anchor, seg, off, count, times[a:b][text]))
+                size += len(text)
+                if size >= bundle:
+                    yield _bundles(held)
+                    held, size = [], 0
+        if held:
+            yield _bundles(held)
 
-    return texts.select("row", "text").mapInArrow(run, "row long, anchor long, seg long, off int, windows int, copies long")
+    return texts.select("row", "text").mapInArrow(run, _SEGMENT)
 
 
 def _cut(window: int):
@@ -152,12 +180,11 @@ def _shard(window: int, gram: int):
     return run
 
 
-def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_words: int) -> DataFrame:
+def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_words: int, bundle: int) -> DataFrame:
     """(row, spans): the repeated word intervals of each text that has any."""
-    table = segment_table(docs, window, gram)
+    table = segment_table(docs, window, gram, bundle)
     anchors = stored(table.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor"))
-    held = stored(table.join(anchors, "anchor").groupBy("row", "anchor", "seg", "off", "windows")
-                  .agg(F.sum("copies").alias("copies")))
+    held = stored(table.join(anchors, "anchor"))
     segs = held.groupBy("anchor", "seg").agg(F.sum("copies").alias("copies"), F.first("row").alias("row"),
                                              F.first("off").alias("off"), F.first("windows").alias("windows"))
     many = segs.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
@@ -179,28 +206,13 @@ def repeated_intervals(docs: DataFrame, window: int, gram: int, hot: int, shard_
 
 
 def _of_texts(held: DataFrame, found: DataFrame) -> DataFrame:
-    """(row, spans) of each text, from the spans of its segments.
-
-    Segments back to back are a chain. A passage that many texts share has the same segments in
-    each, but for the first and the last, which reach into the surroundings. So the segments between
-    them are one class, joined with their spans once for all texts, and a text is a member of a class by one row:
-    texts bring three rows a passage to the joins, however many segments it has."""
-    here = Window.partitionBy("row").orderBy("off")
-    follows = F.col("off") == F.lag("off").over(here) + F.lag("windows").over(here)
-    chained = held.select("row", "off", "windows", "anchor", "seg").withColumn("head", ~F.coalesce(follows, F.lit(False)))
-    chained = stored(chained.withColumn("chain", F.sum(F.col("head").cast("int")).over(here)).withColumn("tail", F.coalesce(F.lead("head").over(here), F.lit(True))))
-    moved = lambda by: F.transform("spans", lambda x: F.struct((x["lo"] + F.col(by)).alias("lo"), (x["hi"] + F.col(by)).alias("hi")))
-    edges = chained.where("head or tail").join(_checked(found, "spans"), ["anchor", "seg"]).select("row", moved("off").alias("spans"))
-
-    inner = chained.where("not head and not tail").groupBy("row", "chain").agg(F.array_sort(F.collect_list(F.struct("off", "anchor", "seg"))).alias("s"))
-    inner = inner.select("row", F.col("s")[0]["off"].alias("off"), F.transform("s", lambda x: F.struct(
-        (x["off"] - F.col("s")[0]["off"]).alias("rel"), x["anchor"].alias("anchor"), x["seg"].alias("seg"))).alias("segs"))
-    inner = stored(inner.withColumn("class", F.xxhash64("segs")))
-    classes = inner.groupBy("class").agg(F.first("segs").alias("segs")).select("class", F.inline("segs"))
-    of_class = (classes.join(_checked(found, "spans"), ["anchor", "seg"]).select("class", moved("rel").alias("spans"))
-                .groupBy("class").agg(F.flatten(F.collect_list("spans")).alias("spans")))
-    members = inner.select("row", "off", "class").join(_checked(stored(of_class), "spans"), "class").select("row", moved("off").alias("spans"))
-    return edges.unionByName(members).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    """(row, spans) of each text, from the spans of its segments. A bundle of equal segments meets their
+    spans once, and its members are dealt out after that."""
+    members = F.concat(F.array(F.struct("row", "off")), F.coalesce("others", F.array().cast("array<struct<row:long,off:int>>")))
+    places = held.join(_checked(found, "spans"), ["anchor", "seg"]).select("spans", F.inline(members))
+    spans = places.select("row", "off", F.explode("spans").alias("s")).select(
+        "row", (F.col("off") + F.col("s.lo")).alias("lo"), (F.col("off") + F.col("s.hi")).alias("hi"))
+    return spans.distinct().groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def _split(text: bytes | None) -> list[bytes]:
@@ -244,7 +256,8 @@ def _checked(df: DataFrame, items: str) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_ITEMS else df
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int = 2000, shard_words: int = 500_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int = 2000, shard_words: int = 500_000,
+                   bundle: int = 1 << 17) -> DataFrame:
     """``docs`` with its repeated words taken out of ``text`` (a text that loses words is then
     its kept words joined by one blank), and n_words, n_removed and kept_sha256 (of the kept
     words joined by one blank). Columns of these three names are replaced."""
@@ -253,7 +266,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, hot: int =
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index('text')}"
     inner = inner.withColumn("row", F.xxhash64(text))
-    spans = repeated_intervals(inner.select("row", F.col(text).alias("text")), window, gram, hot, shard_words)
+    spans = repeated_intervals(inner.select("row", F.col(text).alias("text")), window, gram, hot, shard_words, bundle)
     whole = inner.join(_checked(stored(spans), "spans"), "row", "left").drop("row")
     schema = inner.drop("row").withColumns({"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept_sha256": F.lit("")}).schema
     out = whole.mapInArrow(_removed(text, [c for c in inner.columns if c != "row"]), schema)

@@ -32,11 +32,23 @@ def test_removed_words_equal_brute_force(spark):
     assert "n_removed" in df.columns and df.where("n_removed > 0").count() > 10
 
 
-@pytest.mark.parametrize("options", [{"gram": 3, "hot": 1}, {"gram": 1, "hot": 1000}, {"gram": 3, "shard_words": 30}])
+@pytest.mark.parametrize("options", [{"gram": 3, "hot": 1}, {"gram": 1, "hot": 1000}, {"gram": 3, "shard_words": 30},
+                                     {"gram": 3, "bundle": 1}, {"gram": 3, "bundle": 40, "hot": 3}])
 def test_short_windows_hot_anchors_and_small_shards(spark, options):
     check(spark, [(k, prose(k, 60, 5)) for k in range(8)] + corpus(8), 6, **options)
 
 
+def test_a_passage_of_many_texts_is_one_row_a_segment_and_task(spark):
+    passage = prose(1, 80)
+    rows = [(k, f"{prose(100 + k, 20)} {passage} {prose(900 + k, 20)}") for k in range(300)]
+    docs = documents(spark, rows * 2).coalesce(1).selectExpr("xxhash64(text) row", "text")
+    table = substring_dedup.segment_table(docs, 35, 12, 1 << 17).collect()
+    shared = [r for r in table if r["copies"] == 600]
+    assert shared and all(len({(m["row"], m["off"]) for m in (r, *r["others"])}) == 300 for r in shared)
+    assert len({(r["anchor"], r["seg"]) for r in table}) == len(table)
+    check(spark, rows, 35)
+
+
 def test_text_that_loses_nothing_stays_and_empty_table(spark):
     rows = [(1, "a  b\nc"), (2, None)]
     out = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(documents(spark, rows), window=35).collect()}
