@@ -33,6 +33,34 @@ MATCHES = ("url string, rule_ord int, tier int, type string, noise_exempt boolea
            "raw string, window string")
 
 
+def with_user_rules(extra: Sequence[tuple], base: Rules = rules.SECRET_RULES) -> list[rules.SecretRule]:
+    """``base`` and then the caller's rules, given as (name, pattern, tier) or (name, pattern, tier, anchors).
+
+    The patterns are portable ones (no look-around, no back references, ``\\b`` of ASCII words); a
+    pattern that does not compile or that matches the empty text, a name that is taken and an
+    anchor that is not lower-case are errors here, before any job runs. Anchors are literals of which
+    every match holds one, in lower case; a rule without anchors reads every text."""
+    taken, out = {r.name for r in base}, list(base)
+    first = max((r.ord for r in base), default=0) + 1
+    for k, (name, pattern, tier, *more) in enumerate(extra):
+        anchors = tuple(more[0]) if more else ()
+        if name in taken:
+            raise ValueError(f"rule {name!r}: the name is taken")
+        if re.search(r"\(\?(?:<?[=!]|P=)|\\[1-9]", pattern):
+            raise ValueError(f"rule {name!r}: look-around and back references are not portable")
+        try:
+            empty = re.compile(pattern, re.A).search("")
+        except re.error as e:
+            raise ValueError(f"rule {name!r}: {e}") from e
+        if empty:
+            raise ValueError(f"rule {name!r}: the pattern matches the empty text")
+        if any(not a or a != a.lower() for a in anchors):
+            raise ValueError(f"rule {name!r}: anchors are lower-case literals")
+        taken.add(name)
+        out.append(rules.SecretRule(first + k, name, tier, pattern, anchors, origin="user"))
+    return out
+
+
 def _windows(text: str, spans: list[tuple[int, int]], pad: int) -> Iterator[str]:
     """For each span (sorted by start), the text ``pad`` characters around it with every
     covered character as ``*``. Covered ranges are merged once, so this is linear."""

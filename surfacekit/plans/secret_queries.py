@@ -59,19 +59,19 @@ corpus AS (SELECT url, content FROM js_corpus UNION ALL SELECT url, content FROM
            UNION ALL SELECT url, content FROM turn_corpus)"""
 
 
-def rule_meta_cte() -> str:
+def rule_meta_cte(rule_set=rules.SECRET_RULES) -> str:
     rows = ", ".join(
         f"({r.ord}, {r.tier}, {S.lit(r.name)}, {'true' if r.noise_exempt else 'false'}, "
-        f"{S.lit(r.keep) if r.keep else 'NULL'})" for r in rules.SECRET_RULES)
+        f"{S.lit(r.keep) if r.keep else 'NULL'})" for r in rule_set)
     return f"rule_meta(rule_ord, tier, type, noise_exempt, keep_pat) AS (VALUES {rows})"
 
 
-def hits_cte() -> str:
+def hits_cte(rule_set=rules.SECRET_RULES) -> str:
     per_rule = "\n  UNION ALL ".join(
         f"SELECT url, content, {r.ord} AS rule_ord, regexp_extract_all(content, {S.lit(r.pattern)}) AS m, "
-        f"{S.lit(r.pattern)} AS pat FROM corpus" for r in rules.SECRET_RULES)
+        f"{S.lit(r.pattern)} AS pat FROM corpus" for r in rule_set)
     return f"""{corpus_cte()},
-{rule_meta_cte()},
+{rule_meta_cte(rule_set)},
 hits0 AS (
   {per_rule}
 ),
@@ -149,6 +149,27 @@ def q_ext1(spark, d):
                                   F.length("raw").alias("match_len"), F.md5("raw").alias("raw_hash"))
 
 
+# Rules of the caller's own, beside the library's: (name, pattern, tier, anchors).
+OWN_RULES = (
+    ("Contact address", r"(?i)\b[a-z0-9._%+-]{1,64}@[a-z0-9-]{1,63}(?:\.[a-z0-9-]{1,63}){1,4}\b", 3, ("@",)),
+    ("Numbered id", r"(?i)\b[a-z]{2,12}[-_][0-9]{1,9}\b", 4),
+    ("Data attribute", r"(?i)\bdata-[a-z-]{1,30}=[\"'][^\"'<>]{1,80}", 4, ("data-",)),
+    ("Port in a link", r"(?i)https?://[a-z0-9.-]{1,100}:[0-9]{2,5}\b", 2, ("http://", "https://")),
+)
+_ALL_RULES = SE.with_user_rules(OWN_RULES)
+_FIRST_OWN = len(rules.SECRET_RULES)
+
+
+@register("ext1_user_rules", S.with_(hits_cte(_ALL_RULES[_FIRST_OWN:])) + """
+SELECT url, tier, type, idx, "offset", length(raw) AS match_len, md5(raw) AS raw_hash FROM matches""")
+def q_ext1_user(spark, d):
+    """EXT1 with rules of the caller's own: the library's and theirs run in one pass, theirs are shown."""
+    found = SE.scan_secrets(T.secret_corpus(spark, d), _ALL_RULES)
+    own = [r.name for r in _ALL_RULES[_FIRST_OWN:]]
+    return found.where(F.col("type").isin(own)).select(
+        "url", "tier", "type", "idx", "offset", F.length("raw").alias("match_len"), F.md5("raw").alias("raw_hash"))
+
+
 @register("ext2_drop_noise", _W + """SELECT url, rule_ord, idx, "offset" FROM clean_matches""")
 def q_ext2(spark, d):
     return SE.drop_noise(_scan(spark, d)).select("url", "rule_ord", "idx", "offset")

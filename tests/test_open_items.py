@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from surfacekit import rules
+from surfacekit.operators import secrets
 from surfacekit.operators.aggregates import distinct_hosts_per_tag
 from surfacekit.operators.classify import tag_urls
 from surfacekit.operators.links import humans_fields
@@ -55,3 +58,27 @@ def test_approximate_host_counts_are_near(spark):
     for r in distinct_hosts_per_tag(tags).collect():
         assert near[r["tag"]]["urls"] == r["urls"] and abs(near[r["tag"]]["hosts"] - r["hosts"]) <= 0.15 * r["hosts"]
     assert distinct_hosts_per_tag(tags.limit(0), approx=True).count() == 0
+
+
+def test_user_rules_are_checked_before_any_job_and_follow_the_library_s():
+    both = secrets.with_user_rules([("Badge", r"\bBDG-[0-9]{4}\b", 2, ["bdg-"]), ("Desk", r"\bdesk [0-9]+", 4)])
+    assert both[: len(rules.SECRET_RULES)] == list(rules.SECRET_RULES)
+    badge, desk = both[len(rules.SECRET_RULES) :]
+    assert badge.ord > max(r.ord for r in rules.SECRET_RULES) and desk.ord == badge.ord + 1 and desk.anchors == ()
+    taken = rules.SECRET_RULES[0].name
+    for bad in [(taken, "a", 1), ("x", "(", 1), ("x", "a*", 1), ("x", "(?=a)b", 1), ("x", r"(a)\1", 1), ("x", "a", 1, ["A"]), ("x", "a", 1, [""])]:
+        with pytest.raises(ValueError):
+            secrets.with_user_rules([bad])
+    with pytest.raises(ValueError):
+        secrets.with_user_rules([("x", "a", 1), ("x", "b", 1)])
+
+
+def test_user_rules_find_what_plain_matching_finds(spark):
+    texts = ["BDG-1234 and bdg-99, BDG-0001", "desk 7, Desk 8, desk 12", None, "", "xBDG-1234 BDG-12345", "\u00e9BDG-7777 desk 1"]
+    corpus = spark.createDataFrame([(f"d{k}", t) for k, t in enumerate(texts)], "url string, content string")
+    own = [("Badge", r"\bBDG-[0-9]{4}\b", 2, ["bdg-"]), ("Desk", r"\bdesk [0-9]+", 4)]
+    got = {(r["url"], r["type"], r["idx"], r["offset"], r["raw"], r["tier"])
+           for r in secrets.scan_secrets(corpus, secrets.with_user_rules(own)).collect() if r["type"] in ("Badge", "Desk")}
+    want = {(f"d{k}", name, i, m.start(), m[0], tier) for k, t in enumerate(texts) for name, pattern, tier, *_ in own
+            for i, m in enumerate(re.finditer(pattern, t or "", re.A))}
+    assert got == want and len(got) == 6
