@@ -1,7 +1,7 @@
 """Licence scans: a paragraph classifier over sparse word n-grams, in DataFrame functions only.
 
 A multinomial logistic regression over the presence of word 1- and 2-grams is trained on variants
-of licence templates against ordinary paragraphs. Its weights become a table of a few thousand
+of licence templates against the ordinary paragraphs of all texts. Its weights become a table of a few thousand
 n-grams at most, which the paragraphs' n-grams are joined with. A family is predicted when it is the
 likeliest class and its probability is above a threshold calibrated on paragraphs that were not
 trained on; all else is unknown. The share of the best template's n-grams that the paragraph
@@ -25,7 +25,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surfacekit.llm.common import smallest_hashes, stored
+from surfacekit.llm.common import stored
 
 UNKNOWN = "unknown"
 
@@ -102,6 +102,8 @@ TELLING = frozenset(("affero general", "lesser general", "gnu general", "apache
 _VERSION = re.compile(r"\S+ \d(\.\d)?")
 # A wrapped notice may have this many words for each word of the longest template.
 SLACK = 1.5
+# The steps between probabilities 0 and 1 that a threshold is chosen from.
+STEPS = 4096
 ONE_WORD = r"^[^\p{L}\p{N}]*+[\p{L}\p{N}]\S*+[^\p{L}\p{N}]*+$"
 
 
@@ -203,39 +205,70 @@ def _literals(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 
 
-def fit(docs: DataFrame, sample_docs: int = 1000, false_rate: float = 0.001) -> LicenceModel:
-    """``sample_docs`` bounds the documents whose lines stand for unknown paragraphs: the ones
-    with the smallest hashes of their ids. Lines that hold half of a template are left out; one
-    half of the rest is trained on, the other sets the threshold."""
-    spark: SparkSession = docs.sparkSession
-    names = (UNKNOWN, *sorted({f for f, _ in TEMPLATES}))
-    held = template_grams(spark)
+def vocabulary(spark: SparkSession) -> list[str]:
+    """The n-grams of the templates and of ``OTHERS``, some hundreds: no other one has a weight."""
     others = with_grams(spark.createDataFrame([(t,) for t in OTHERS], "line string"))
-    pairs = sorted({g for _, gs in held for g in gs if " " in g})
-    vocabulary = sorted({g for _, gs in held for g in gs} | {g for r in others.collect() for g in r["grams"]})
+    return sorted({g for _, gs in template_grams(spark) for g in gs} | {g for r in others.collect() for g in r["grams"]})
+
+
+def held_grams(paras: DataFrame) -> DataFrame:
+    """``paras`` with the n-grams of the vocabulary alone, and with what learning needs of the others:
+    a hash of all n-grams (equal texts have one), the half it puts the paragraph in, and
+    whether it is ordinary, which it is with words and less than half of each template."""
+    spark = paras.sparkSession
+    known = vocabulary(spark)
+    kept = paras.withColumns({"line_hash": F.xxhash64("grams"), "half": F.pmod(F.hash("grams"), F.lit(2)), "ordinary": F.size("grams") > 0})
+    kept = kept.withColumn("grams", F.filter("grams", lambda g: g.isin(known)))
+    n, half_of_one = F.size("grams"), F.lit(False)
+    for _, grams in template_grams(spark):
+        half_of_one |= (n >= len(grams) / 2) & (F.size(F.array_intersect("grams", _literals(grams))) >= len(grams) / 2)
+    return kept.withColumn("ordinary", F.col("ordinary") & ~half_of_one)
+
+
+def fit(docs: DataFrame, **options) -> LicenceModel:
+    """The model that ``learn`` makes of all lines of ``docs``."""
+    return learn(stored(held_grams(paragraphs(docs))), **options)[0]
+
+
+def learn(paras: DataFrame, false_rate: float = 0.001, outweigh: float = 8.0) -> tuple[LicenceModel, DataFrame]:
+    """The model, and the predictions of all ``paras`` (stored, with ``held_grams``) by it.
+
+    All different ordinary lines stand for unknown paragraphs: one half is trained on, the other
+    sets the threshold. A line weighs as much as a variant of a notice, up to ``outweigh`` lines for
+    each variant; more lines share that weight evenly, so that no number of them drowns the notices.
+    The threshold is the least step of 1 / ``STEPS`` from 0.5 on that at most ``false_rate`` of the other half reach."""
+    spark: SparkSession = paras.sparkSession
+    names = (UNKNOWN, *sorted({f for f, _ in TEMPLATES}))
+    pairs = sorted({g for _, gs in template_grams(spark) for g in gs if " " in g})
     known = [(names.index(f), v) for f, t in TEMPLATES for v in _variants(t)] + [(0, t) for t in NEAR_MISSES for _ in range(4)]
     known += [(0, v) for t in OTHERS for v in _variants(t)[:4]]
     notices = with_grams(spark.createDataFrame(known, "label int, line string"))
-    picked = smallest_hashes(docs.where("text is not null").select("doc_id", "text"), "doc_id", sample_docs)
-    lines = stored(paragraphs(picked).select("grams", "pairs")).where(F.size("grams") > 0).distinct()
-    shares = [F.size(F.array_intersect("grams", _literals(g))) / len(g) for _, g in held]
-    lines = stored(lines.where(F.greatest(*shares) < 0.5).select(
-        F.lit(0).alias("label"), "grams", "pairs", F.pmod(F.hash("grams"), F.lit(2)).alias("half")))
-    other = F.when(F.col("pairs") > 0, 1 - F.size(F.array_intersect("grams", _literals(pairs))) / F.col("pairs")).otherwise(1.0)
-    train = notices.unionByName(lines.where("half = 0").drop("half")).withColumn("other", other)
-    train = stored(train.coalesce(2))
-    present = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="present", binary=True)
+    alone = F.col("last") == F.col("paragraph") if "last" in paras.columns else F.lit(True)
+    lines = stored(paras.where(alone & F.col("ordinary")).select("line_hash", "half", "pairs", "grams").distinct())
+    trained, tested = lines.agg(F.count_if(F.col("half") == 0), F.count_if(F.col("half") == 1)).first()
+    weight = min(1.0, outweigh * len(known) / max(1, trained))
+    texts = lines.where("half = 0").select(F.lit(0).alias("label"), "grams", "pairs", F.lit(weight).alias("weight"))
+    other = F.when(F.col("pairs") > 0, 1 - F.size(F.filter("grams", lambda g: g.isin(pairs))) / F.col("pairs")).otherwise(1.0)
+    train = notices.withColumn("weight", F.lit(1.0)).unionByName(texts).withColumn("other", other)
+    words_known = vocabulary(spark)
+    present = CountVectorizerModel.from_vocabulary(words_known, inputCol="grams", outputCol="present", binary=True)
     data = VectorAssembler(inputCols=["present", "other"], outputCol="features").transform(present.transform(train))
-    model = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=60).fit(data.select("label", "features"))
+    regression = LogisticRegression(family="multinomial", elasticNetParam=0.5, regParam=0.0005, maxIter=60, weightCol="weight")
+    model = regression.fit(data.select("label", "features", "weight"))
     weights, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     kept = set(pairs)
-    rows = tuple((g, tuple(map(float, weights[:, k])), g in kept) for k, g in enumerate(vocabulary) if g in kept or weights[:, k].any())
-    made = LicenceModel(names, tuple(map(float, bias)), tuple(map(float, weights[:, -1])), 0.0, rows)
-    test = lines.where("half = 1").select(F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long").alias("doc_id"),
-                                          F.lit(0).alias("paragraph"), "grams", "pairs")
-    allowed = int(test.count() * false_rate)
-    wrong = [r[0] for r in predict(test, made).orderBy(F.desc("probability")).limit(allowed + 1).select("probability").collect()]
-    return replace(made, threshold=max(0.5, wrong[allowed] if len(wrong) > allowed else 0.5))
+    rows = tuple((g, tuple(map(float, weights[:, k])), g in kept) for k, g in enumerate(words_known) if g in kept or weights[:, k].any())
+    made = LicenceModel(names, tuple(map(float, bias)), tuple(map(float, weights[:, -1])), 0.5, rows)
+    found = stored(predict(paras, made))
+    wrong = found.where(alone & F.col("ordinary") & (F.col("half") == 1)).select("line_hash", "probability").dropDuplicates(["line_hash"])
+    steps = wrong.groupBy(F.floor(F.col("probability") * STEPS).alias("step")).count().collect()
+    left, threshold = int(tested * false_rate), made.threshold
+    for step, n in sorted(map(tuple, steps), reverse=True):
+        left -= n
+        if left < 0:
+            threshold = (step + 1) / STEPS
+            break
+    return replace(made, threshold=threshold), found.where(F.col("probability") >= threshold)
 
 
 def predict(paras: DataFrame, model: LicenceModel) -> DataFrame:
@@ -245,7 +278,7 @@ def predict(paras: DataFrame, model: LicenceModel) -> DataFrame:
     size = len(model.names)
     table = paras.sparkSession.createDataFrame([(g, list(w), p) for g, w, p in model.rows], "gram string, weights array<double>, pair boolean")
     # the outer form lets no filter on the array slip below the steps that make it
-    key = [c for c in ("row", "doc_id", "paragraph", "last") if c in paras.columns]
+    key = [c for c in ("row", "doc_id", "paragraph", "last", "line_hash", "half", "ordinary") if c in paras.columns]
     hits = paras.select(*key, "pairs", F.explode_outer("grams").alias("gram")).join(F.broadcast(table), "gram")
     sums = hits.groupBy(*key, "pairs").agg(
         F.sum(F.col("pair").cast("int")).alias("known"), F.collect_list("gram").alias("grams"),
@@ -265,7 +298,7 @@ def scan(docs: DataFrame, confirm: float = 0.6, **options) -> DataFrame:
     template of that family that the paragraph holds) and confirmed (similarity >= ``confirm``),
     for every paragraph with a predicted family. A confirmed run of lines stands for its lines,
     under the first one's number, where none of them is confirmed alone."""
-    found = predict(with_wrapped(docs), fit(docs, **options))
+    _, found = learn(stored(held_grams(with_wrapped(docs))), **options)
     share, told = F.lit(0.0), F.lit(False)
     for family, grams in template_grams(docs.sparkSession):
         pairs = [g for g in grams if " " in g]
