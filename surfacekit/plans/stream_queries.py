@@ -5,6 +5,8 @@ the equivalent batch statements."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +96,9 @@ def q_str5(spark, d):
 @register("str6_stream_js_corpus", S.with_(hits_cte()) + "SELECT * FROM dedup")
 def q_str6(spark, d):
     base = ST.job_dir(spark, "str6-corpus", d)
-    s = T.secret_corpus(spark, d, load=ST.stream_table)
+    # texts take long to scan: a batch has as many files of a table as there are tasks at once
+    load = partial(ST.stream_table, files_per_trigger=max(1, spark.sparkContext.defaultParallelism))
+    s = T.secret_corpus(spark, d, load=load)
     rows = SE.findings(SE.scan_secrets(s))
     ST.run(ST.start_append(rows, f"{base}/out", f"{base}/ckpt"))
     # consolidation: one global dedup over everything the stream produced
