@@ -14,7 +14,7 @@ and then by the text's ids; an empty table gives no rows. Extra columns are igno
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +130,13 @@ def _odd_pairs(joined: np.ndarray) -> np.ndarray:
     return out
 
 
+def _encoded(encode: Callable, texts: list[bytes | None], chunk: int = 1 << 18) -> Iterator[bytes]:
+    """The ids of each text. A worker holds some 80 bytes for each byte that it encodes at once, on
+    top of what the stages before left it, so the texts go in chunks of ``chunk`` bytes."""
+    for a, b in text_chunks(texts, chunk):
+        yield from encode(texts[a:b])
+
+
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, ``extra`` and ids (little-endian unsigned 32-bit, the end id last) of each row."""
     last = int(end_id).to_bytes(4, "little")
@@ -140,8 +147,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, extra: tuple[str, ..
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = part.column("text").cast(pa.binary()).to_pylist()
-                ids = [x + last for a, b in text_chunks(texts, 1 << 21) for x in encode(texts[a:b])]
+                ids = [x + last for x in _encoded(encode, part.column("text").cast(pa.binary()).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.binary())], [*names, "ids"])
 
     kinds = dict(docs.dtypes)
