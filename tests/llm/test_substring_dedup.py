@@ -49,6 +49,33 @@ def test_a_passage_of_many_texts_is_one_row_a_segment_and_task(spark):
     check(spark, rows, 35)
 
 
+def test_members_are_dealt_out_within_their_bundle(spark):
+    passage = prose(1, 400)
+    own = [" ".join(f"w{k}x{i}" for i in range(20)) for k in range(200)]
+    rows = [(k, f"{w} {passage} {w[::-1]}") for k, w in enumerate(own)]
+    docs = documents(spark, rows).repartition(4).selectExpr("xxhash64(text) row", "text")
+    found = substring_dedup.repeated_intervals(docs, 35, 12, 2000, 500_000, 700)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert all([(s["lo"], s["hi"]) for s in r["spans"]] == [(20, 420)] for r in found.collect()) and found.count() == 200
+    table = substring_dedup.segment_table(docs, 35, 12, 700).collect()
+    bundles = {}
+    for r in table:
+        for m in (r, *(r["others"] or [])):
+            bundles.setdefault(m["row"], set()).add(r["bundle"])
+    assert len(bundles) == 200 and all(len(b) == 1 for b in bundles.values()) and len(set().union(*bundles.values())) >= 4
+
+
+def test_united_intervals_equal_a_plain_loop():
+    rnd = np.random.default_rng(2)
+    for n in (1, 2, 60):
+        row, lo = rnd.integers(-3, 4, n), rnd.integers(0, 90, n)
+        hi = lo + rnd.integers(1, 9, n)
+        got = list(zip(*(c.tolist() for c in substring_dedup.united(row, lo, hi))))
+        want = {(r, x) for r, a, b in zip(row.tolist(), lo, hi) for x in range(a, b)}
+        assert {(r, x) for r, a, b in got for x in range(a, b)} == want and got == sorted(got)
+        assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(got, got[1:]))
+
+
 def test_text_that_loses_nothing_stays_and_empty_table(spark):
     rows = [(1, "a  b\nc"), (2, None)]
     out = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(documents(spark, rows), window=35).collect()}
