@@ -56,6 +56,8 @@ HEADER_MARKS = frozenset("header masthead".split())  # inside an article these h
 # Words that say nothing of a part's use: a class of these and unwanted words alone marks a paragraph as unwanted.
 NEUTRAL = frozenset("bar block box button buttons icon icons inner item items label line link links list message row text title wrap wrapper".split())
 WANTED = frozenset("article body content entry main post story text page".split())
+SITE_ENTRIES = frozenset(("home", "start", "news", "about", "about us", "contact", "contact us", "imprint", "privacy", "privacy policy",
+                          "sitemap", "site map", "login", "log in", "sign in", "sign up", "register", "search", "faq", "help"))  # a menu's labels
 LAYOUT = frozenset("wrapper wrap container layout outer inner site row col column columns grid".split())  # wrappers, without points
 _STATE = re.compile(r"(?:has|have|no|not|with|without|is|hide|show|open|closed)[-_]+\S*|\S*[-_](?:open|opened|closed|hidden|disabled|off)")
 
@@ -307,13 +309,25 @@ def _is_menu(node: Node) -> bool:
     return links > 0.75 * len("".join(text.split()))
 
 
+def _labels(node: Node) -> list[str]:
+    """The texts of the links below a node."""
+    return [" ".join(_text_and_links(x)[0].lower().split()) if x.tag == "a" else y
+            for x in node.items if not isinstance(x, str) for y in ([""] if x.tag == "a" else _labels(x))]
+
+
+def _is_site_menu(node: Node) -> bool:
+    """A menu whose entries are for the most part those of any site."""
+    labels = _labels(node)
+    return 2 * sum(x in SITE_ENTRIES for x in labels) > len(labels)
+
+
 def _blocks(items: list[Node | str], out: list[list[str]], in_article: bool = False) -> None:
-    """The blocks of what is kept. A list of links that nothing marks as a menu is text inside an
-    article; elsewhere it is a menu."""
+    """The blocks of what is kept. A list of links that neither marks nor labels tell as a menu is text
+    inside an article; elsewhere it is a menu."""
     for x in items:
         if isinstance(x, str):
             out[-1].append(x)
-        elif not in_article and _is_menu(x):
+        elif _is_menu(x) and (not in_article or _is_site_menu(x)):
             out.append([])
         elif x.tag == "br":
             out[-1].append(" ")
