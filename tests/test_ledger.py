@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
 
 import pytest
 from pyspark.errors import PySparkException
@@ -99,6 +100,23 @@ def test_writers_at_once(spark, tmp_dir):
     assert keys(Ledger(spark, f"{tmp_dir}/sink")) == list(range(18)) and sum(rows) == 18
 
 
+def test_a_version_taken_at_once_has_one_writer(spark, tmp_dir):
+    sinks = [Ledger(spark, f"{tmp_dir}/sink") for _ in range(3)]
+    start = Barrier(3)
+
+    def claim(k):
+        won = []
+        for version in range(1, 61):
+            start.wait(60)
+            won.append(sinks[k]._put_new(version, f'{{"name": "{k}", "folder": null, "rows": 0}}'))
+        return won
+
+    with ThreadPoolExecutor(3) as pool:
+        won = list(zip(*pool.map(claim, range(3))))
+    assert [sum(w) for w in won] == [1] * 60
+    assert [c.name for c in sinks[0].commits()] == [str(w.index(True)) for w in won]
+
+
 def test_null_keys_are_a_key(spark, tmp_dir):
     sink = Ledger(spark, f"{tmp_dir}/sink")
     nulls = spark.createDataFrame([(None, "x"), (None, "y")], "k long, note string")
